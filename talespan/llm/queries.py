@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talespan.llm import canonical, runs, survivor, turns
+from talespan.llm import canonical, packing, pii, runs, survivor, tokens, turns
 from talespan.runtime import table
 
 
@@ -47,4 +47,38 @@ def p6_turn_texts(spark: SparkSession, d: str) -> DataFrame:
     return turns.speaker_turns(captions, table(spark, d, "speakers"), with_text=True, pause_ms=pause)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_merged, p4_found, p6_found, p6_turn_texts)}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode_documents(table(spark, d, "documents"))
+
+
+def _packed(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    limits = [(r[0], r[1]) for r in table(spark, d, "token_limits").select("limit_name", "capacity_tokens").collect()]
+    return packing.pack_items(tokens.count_tokens(documents), limits, n_items=documents.count())
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Containers of each capacity alone (plan = limit_name) and of all jointly (plan 'mixed')."""
+    return _packed(spark, d)
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Report per plan: containers, capacity, tokens, share filled."""
+    return packing.fill_report(_packed(spark, d))
+
+
+def _given(spark: SparkSession, d: str) -> list[str]:
+    return pii.given_names((table(spark, d, "speakers"), "full_name"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find_personal(table(spark, d, "documents"), _given(spark, d))
+
+
+def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text with typed placeholders."""
+    return pii.redact(table(spark, d, "documents"), key="talespan", given=_given(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_merged, p4_found, p6_found, p6_turn_texts, p7_ids, p8_containers,
+                               p8_fill, p9_found, p9_redacted)}
