@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from talespan.plans import general
+
+QUERIES: dict = {**general.QUERIES}
+ORACLES: dict[str, str] = {**general.ORACLES}
 
 
 def flagship(spark, sf_dir):

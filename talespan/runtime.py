@@ -4,16 +4,33 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _STAGE_DIRS: list[tuple[SparkSession, str]] = []
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever they were started; once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_talespan_shipped", False):
+        return
+    package = Path(__file__).parent
+    tmp = tempfile.mkdtemp(prefix="talespan-")  # the driver serves the file from here as long as it lives
+    atexit.register(shutil.rmtree, tmp, True)
+    copy = Path(tmp, "root", package.name)
+    shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(str(Path(tmp, package.name)), "zip", copy.parent))
+    sc._talespan_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
