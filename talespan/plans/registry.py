@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from talespan.plans import general
+from talespan.plans import general, reference
+from talespan.plans.reference import flagship
 
-QUERIES: dict = {**general.QUERIES}
-ORACLES: dict[str, str] = {**general.ORACLES}
+__all__ = ["ORACLES", "QUERIES", "flagship"]
 
-
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+QUERIES: dict = {**reference.QUERIES, **general.QUERIES}
+ORACLES: dict[str, str] = {**reference.ORACLES, **general.ORACLES}
