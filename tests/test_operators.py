@@ -1,0 +1,197 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from talespan.backends.chat import RateLimited, Retrying, RuleBackend, backend_for
+from talespan.functions import text as tx
+from talespan.functions.tokens import CharacterCounter, RankCounter
+from talespan.operators import batching, matching as m, segmentation as seg, segments as sg
+from talespan.operators.scan import running_sum
+from talespan.operators.topdown import match_topdown
+
+
+def one(spark, value, kind, expr):
+    return spark.createDataFrame([(value,)], f"x {kind}").select(expr(F.col("x"))).first()[0]
+
+
+@pytest.mark.parametrize("value, want", [(0.125, "0.12"), (1.005, "1.00"), (2.675, "2.67"), (3600.045, f"{3600.045:.2f}"), (None, None)])
+def test_two_decimals_round_like_binary(spark, value, want):
+    assert one(spark, value, "double", tx.two_decimals) == want
+
+
+@pytest.mark.parametrize("raw, want", [
+    ("```json\n[1]\n```", "[1]"), ("```[1]```", "[1]"), ("<think>a</think> [1] ", "[1]"), (" [1] ", "[1]"), ("<think>open", None), ("<think>a</think>```json\n[1]\n```", "```json\n[1]"), (None, None)])
+def test_clean_answer(spark, raw, want):
+    assert one(spark, raw, "string", tx.clean_llm_json) == want
+    if raw is not None:
+        assert seg.clean_answer(raw) == want
+
+
+@pytest.mark.parametrize("stamp, want", [("00:00:05.005", 5.005), ("05.5", 5.005), ("00:00:05", 0.005), ("1:2:3:4.5", None), ("x", None), (None, None)])
+def test_timestamp(spark, stamp, want):
+    assert one(spark, stamp, "string", tx.timestamp_seconds) == want
+
+
+def test_parse_answers():
+    assert m.parse_answer('[{"concept":" a ","score":"0.5"},"b",{"concept":"a","score":true},{"concept":7},{"x":1},3]') == [("a", 1.0), ("b", None)]
+    assert m.parse_answer('[{"concept":"a","score":[1]}]') == [("a", None)]
+    for bad in (None, "", "{", '{"concept":"a"}', "1", "null"):
+        assert m.parse_answer(bad) == []
+    assert m.parse_answer('[{"concept":"a","score":1,"score":2}]') == [("a", 2.0)]
+
+
+def test_parse_selection_name_title():
+    assert m.parse_selection('{"relevant_segments":[2,0,true,9,-1,"x",1]}', 3) == [2, 0, 1]
+    assert m.parse_selection("[1,1]", 3) == [1, 1] and m.parse_selection("{}", 3) == [] and m.parse_selection("oops", 3) == []
+    assert m.parse_name('[{"a":1},{"name":"N"}]') == "N" and m.parse_name('{"name":"N"}') == "N" and m.parse_name("[]") is None and m.parse_name("{") is None
+    assert m.parse_title('{"title":"T"}') == "T" and m.parse_title("[1]") is None
+
+
+def test_time_prefix_stops_at_first_violation(spark):
+    rows = [("a", 0, 10.0), ("a", 1, 70.0), ("a", 2, 71.0), ("a", 3, 30.0), ("b", 5, 1.0)]
+    got = sg.caption_time_prefix(spark.createDataFrame(rows, "k string, caption_idx int, end double"), ["k"], 1)
+    assert sorted((r.k, r.caption_idx) for r in got.collect()) == [("a", 0), ("a", 1), ("b", 5)]
+
+
+def test_running_sum_over_chunks(spark):
+    rows = [("a", i * 3, i % 2) for i in range(200)] + [("b", 7, 1)]
+    got = running_sum(spark.createDataFrame(rows, "k string, p int, v int"), ["k"], "p", F.col("v"), "s", chunk=16).collect()
+    assert all(r.s == (sum(x % 2 for x in range(r.p // 3 + 1)) if r.k == "a" else 1) for r in got)
+
+
+def test_boundaries(spark):
+    cap = spark.createDataFrame([("a", i, float(i), i + 1.0, f" t{i}\n") for i in range(6)], "k string, caption_idx int, start double, end double, text string")
+    b = spark.createDataFrame([("a", 1), ("a", 4), ("a", 4), ("a", 9)], "k string, caption_idx int")
+    got = sorted(sg.segments_from_boundaries(cap, b, ["k"], chunk=2).collect())
+    assert [(r.segment_idx, r.start, r.end, r.text, r.n_captions) for r in got] == [(0, 1.0, 4.0, "t1 t2 t3", 3), (1, 4.0, 6.0, "t4 t5", 2)]
+    assert sorted(r.caption_idx for r in sg.empty_boundaries(cap, b, ["k"]).collect()) == [4, 9]
+
+
+def greedy(costs, budget):
+    out, used, b, pos = [], 0, 0, 0
+    for c in costs:
+        if pos and used + c > budget:
+            b, used, pos = b + 1, 0, 0
+        out.append((b, pos))
+        used, pos = used + c, pos + 1
+    return out
+
+
+def test_token_batches_equal_the_fold(spark):
+    rng = random.Random(3)
+    groups = {k: [rng.randint(1, 60) for _ in range(n)] for k, n in (("a", 300), ("b", 1), ("c", 57))}
+    rows = [(k, i * 2, c) for k, cs in groups.items() for i, c in enumerate(cs)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        got = batching.token_batches(spark.createDataFrame(rows, "k string, p int, c int"), ["k"], "p", "c", 50).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for k, cs in groups.items():
+        assert [(r.batch_id, r.pos_in_batch) for r in sorted((r for r in got if r.k == k), key=lambda r: r.p)] == greedy(cs, 50)
+
+
+def test_exact_occurrence_quirks(spark):
+    seg_rows = [(1, "Over Kamp Aspelaplas, en een foo-bar."), (2, "kampaspelaplas"), (3, "..."), (4, None), (5, "Kamp  Aspelaplas (kamp)"), (6, "x(kamp)y")]
+    con = [(1, "kamp aspelaplas"), (2, ""), (3, "foo-bar"), (4, "(kamp)"), (5, None), (6, "een foo")]
+    got = m.exact_occurrence(spark.createDataFrame(seg_rows, "s int, text string"), spark.createDataFrame(con, "concept_idx int, name string"), ["s"])
+    assert sorted((r.s, r.concept_idx) for r in got.collect()) == [(1, 1), (1, 2), (1, 3), (1, 6), (2, 2), (5, 2), (6, 2), (6, 4)]
+
+
+def test_topk_ties_blocks_and_zero(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "id long, embedding array<float>")
+    c = spark.createDataFrame([(i, [1.0, 0.0] if i % 2 else [0.0, 1.0]) for i in range(8)], "id long, embedding array<float>")
+    for block in (100, 3):
+        got = {}
+        for r in m.embedding_topk(q, c, 3, block_rows=block).collect():
+            got.setdefault(r.id, []).append((r["rank"], r.concept_idx, r.score))
+        assert sorted(got[1]) == [(1, 7, 1.0), (2, 5, 1.0), (3, 3, 1.0)] and sorted(got[2]) == [(1, 7, 0.0), (2, 6, 0.0), (3, 5, 0.0)]
+    assert m.embedding_topk(q, c, 0).count() == 16 and m.embedding_topk(q, c, 50).count() == 16 and m.embedding_topk(q, c.limit(0), 3).count() == 0
+
+
+class Script:
+    """Answers from a list, then the last one again."""
+
+    def __init__(self, *answers):
+        self.answers, self.asked = list(answers), []
+
+    def complete(self, prompt, system=""):
+        self.asked.append(prompt)
+        return self.answers.pop(0) if len(self.answers) > 1 else self.answers[0]
+
+
+def test_segment_lists_state_machine():
+    lines, ends = [f"[{i}][0.00s] t" for i in range(10)], [float(60 * i) for i in range(10)]
+    two = Script('[{"caption_indices":[0,1]},{"caption_indices":[2,3]}]', '[{"caption_indices":[2,3,4]},{"caption_indices":[5,99,9]}]')
+    assert seg.segment_lists(lines, ends, two, 4) == [[0, 1], [2, 3, 4], [5, 9]]
+    assert "[2][" in two.asked[1] and "[1][" not in two.asked[1]
+    stuck = Script('[{"caption_indices":[0,1]}]')
+    assert seg.segment_lists(lines, ends, stuck, 4) == [] and len(stuck.asked) == 6 and "attempt 2" in stuck.asked[1] and "attempt" not in stuck.asked[3]
+    for bad in ("oops", "[]", '[{"caption_indices":[-5,77]}]', "<think>"):
+        assert seg.segment_lists(lines, ends, Script(bad), 4) == []
+    assert seg.segment_lists([], [], Script("[]"), 4) == []
+
+
+def test_retry_and_router():
+    class Limited:
+        calls = 0
+
+        def complete(self, prompt, system=""):
+            Limited.calls += 1
+            if Limited.calls < 3:
+                raise RateLimited("try again in 1.5s" if Limited.calls == 1 else "wait")
+            return "ok"
+
+    waits = []
+    assert Retrying(Limited(), sleep=waits.append).complete("x") == "ok" and waits == [1.5, 10.0]
+    with pytest.raises(RuntimeError):
+        Retrying(type("L", (), {"complete": lambda s, p, y="": (_ for _ in ()).throw(RateLimited("no"))})(), attempts=2, sleep=waits.append).complete("x")
+    with pytest.raises(ValueError):
+        backend_for("other")
+    assert isinstance(backend_for("gpt-x"), Retrying) and isinstance(backend_for("rules"), RuleBackend)
+
+
+def test_topdown_walk(spark):
+    con = spark.createDataFrame([
+        (0, "t", "Top wereldoorlog", "d", ["a", "x"], True), (1, "a", "Alpha wereldoorlog", "d", ["b", "t"], False), (2, "b", "Beta wereldoorlog", "d", ["a"], False),
+        (3, "x", "iets", "d", [], False)], "concept_idx int, uri string, name string, description string, narrower array<string>, top boolean")
+    s = spark.createDataFrame([(1, "over wereldoorlog"), (2, "niets")], "s int, text string")
+    got = match_topdown(s, con, con.where("top"), RuleBackend(keep=0), ["s"], CharacterCounter(), 1000).collect()
+    assert [(r.s, r.match_idx, r.uri) for r in sorted(got)] == [(1, 0, "a"), (1, 1, "b")]
+    assert match_topdown(s, con, con.where("false"), RuleBackend(), ["s"], CharacterCounter(), 1000).count() == 0
+
+
+def test_counters():
+    assert CharacterCounter().count(["abcdefgh", ""]) == [2, 0]
+    assert RankCounter().count(["hello world", ""]) == [2, 0]
+
+
+def test_whole_run_and_resume(spark, tmp_path):
+    import json
+
+    from talespan.backends.embed import HashingEmbedder
+    from talespan.config import EngineConfig
+    from talespan.operators.thesaurus import Vocabulary
+    from talespan.plans import pipeline
+
+    data = tmp_path / "in"
+    data.mkdir()
+    for name in ("een", "twee"):
+        cues = "".join(f"00:{i // 60:02d}:{i % 60:02d}.000 --> 00:{i // 60:02d}:{i % 60:02d}.900\nWij woonden in Jan de Boer straat bij het bevrijding festival {i}\n\n" for i in range(25))
+        (data / f"{name}.vtt").write_text("WEBVTT\n\n" + cues)
+    sk = "http://www.w3.org/2004/02/skos/core#"
+    tr = []
+    for u, label, kind in (("u:top", "Bevrijding", "top"), ("u:low", "Festival bevrijding", "x"), ("u:k", "festival", "k")):
+        tr += [f"<{u}> <http://www.w3.org/1999/02/22-rdf-syntax-ns#type> <{sk}Concept> .", f'<{u}> <{sk}prefLabel> "{label}"@nl .', f'<{u}> <{sk}scopeNote> "noot" .']
+        tr += [f"<{u}> <{sk}topConceptOf> <s:1> .", f"<{u}> <{sk}narrower> <u:low> ."] if kind == "top" else []
+        tr += [f"<{u}> <{sk}inScheme> <s:kamp> ."] if kind == "k" else []
+    (tmp_path / "t.nt").write_text("\n".join(tr))
+    config = EngineConfig(model="rules", data_folder=str(data), output_folder=str(tmp_path / "out"), max_tokens=2000)
+    args = (str(tmp_path / "t.nt"), Vocabulary(camp_scheme="s:kamp"), RuleBackend(), HashingEmbedder(), CharacterCounter())
+    assert pipeline.run(spark, config, *args) == 2
+    got = json.loads((tmp_path / "out/enriched_segments/een_enriched_segments.json").read_text())
+    assert len(got) == 3 and list(got[0])[:2] == ["segment_title", "interviewee_name"] and got[0]["matched_concepts"][0]["source"] == "Top-down matching"
+    assert {"uri", "name", "source", "score"} == set(got[0]["matched_concepts"][0]) and any(c["source"] == "Exact occurrence" for c in got[0]["matched_concepts"])
+    assert list(json.loads((tmp_path / "out/segments/een_segments.json").read_text())[0]) == ["start", "end", "text"]
+    (tmp_path / "out/enriched_segments/twee_enriched_segments.json").unlink()
+    assert pipeline.run(spark, config, *args) == 1
