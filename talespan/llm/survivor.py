@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from talespan.functions.uris import uri_key
+
 # Stand-ins for "no evidence", compared in lower case without blanks at the ends.
 STAND_INS = ("none", "n/a", "na", "n.a.", "—", "–", "-", "--", "geen", "n.v.t.", "nvt", "onbekend", "null", "nan", "unknown", "unbekannt",
              "keine", "nihil", "nil", "tbd", "empty", "leeg", "niet bekend", "not available", "not applicable", "k.a.", "x")
@@ -31,19 +33,6 @@ BUNDLES = ("survivor", "score", "evidence")
 _UNKNOWN_RANK = 1_000_000
 
 
-def concept_key(uri: Column) -> Column:
-    """A uri without the spellings that do not change its concept: scheme, "www.", letter case,
-    brackets, blanks, doubled and trailing slashes, query, fragment, percent-encoded letters.
-    The numbers and the kind in the path decide which concept it is; null if nothing is left."""
-    u = F.lower(F.regexp_replace(uri, r"(?U)^[\s<\"']+|[\s>\"']+$", ""))
-    u = F.regexp_replace(u, r"[?#].*$", "")
-    u = F.try_url_decode(F.replace(u, F.lit("+"), F.lit("%2b")))
-    u = F.lower(F.regexp_replace(u, r"^(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?", ""))
-    u = F.regexp_replace(F.regexp_replace(u, r"/{2,}", "/"), r"/+$", "")
-    u = F.regexp_replace(u, r":(?:80|443)(?=/|$)", "")
-    return F.when(F.length(u) > 0, u)
-
-
 def source_key(source: Column) -> Column:
     """A source name without case, blanks and punctuation."""
     return F.regexp_replace(F.lower(source), r"[^\p{L}\p{N}]+", "")
@@ -113,7 +102,7 @@ def _prepared(matches: DataFrame, trust: DataFrame) -> DataFrame:
     if ranks.count() <= 10_000:
         ranks = F.broadcast(ranks)
     m = matches.select("match_id", "transcript_id", "segment_idx", "match_idx", "uri", "source", "score", "evidence", "scored_at",
-                       concept_key(F.col("uri")).alias("concept"), source_key(F.col("source")).alias("s_key"))
+                       uri_key(F.col("uri")).alias("concept"), source_key(F.col("source")).alias("s_key"))
     m = m.where("concept IS NOT NULL AND match_id IS NOT NULL").join(ranks, F.col("s_key") == F.col("t_key"), "left")
     score_ok = F.coalesce(~F.isnan("score") & F.col("score").between(0, 1), F.lit(False))
     pattern = (F.when(score_ok, 1).otherwise(0) + F.when(evidence_says(F.col("evidence")), 2).otherwise(0)
