@@ -59,23 +59,35 @@ _IDENTITY = re.compile(
     rf"|(?P<card>[A-Z]\s?\d{{2}}(?:\s?/\s?|{_SP}n[or]\.?\s?)\d{{6}})"
     rf"|(?P<nino>[A-Z]{{2}}\s{{0,2}}\d{{2}}\s{{0,2}}\d{{2}}\s{{0,2}}\d{{2}}\s{{0,2}}[A-D])"
     rf"|(?P<pass>[A-Z]{{2}}\s{{0,2}}\d{{3}}\s{{0,2}}\d{{4}}|[A-Z]\d{{8}}|[A-Z]\d{{4}}-?\d{{3}}[A-Z]|[A-Z]{{2}}\d{{2}}[A-Z]\d{{4}})"
-    rf")(?![\w]|[-/.]\d)"
+    rf")(?![\w]|[-/.]\d)".replace(r"\d", "[0-9]")
 )
 _NO_IDENTITY = re.compile(r"(?:inventar\w*|inventory\s+no\.?|inv\.?\s*(?:nr|no)\.?|isbn|issn|nummer\s+band|kaart|bestel\w*|rekening\w*|factuur\w*|signatu\w*|catalog\w*|toegang\w*)\s*:?\s*$", re.I)
+_GAP = r"[ \xa0\n.\-/]{0,2}"
+# Numbering plans: country code and national number, then national forms, longer groupings first.
 _PHONE = re.compile(
     rf"(?<![\w.,/@+-])(?:"
-    rf"(?:\+|00)\d{{1,3}}(?:[ \xa0.\-/]{{0,2}}\(\d{{1,4}}\))?(?:[ \xa0\n.\-/]{{0,2}}\d{{1,9}}){{1,6}}"
-    rf"|\(0\d{{1,4}}\)(?:[ \xa0\n.\-/]{{0,2}}\d{{1,8}}){{1,5}}"
-    rf"|0\d{{1,10}}(?:[ \xa0\n.\-/]{{1,2}}\d{{1,8}}){{0,5}}"
-    rf")(?!\d|[-/.:]\d|\w)"
+    rf"(?:\+|00)31{_GAP}(?:\(0\))?(?:{_GAP}\d){{9}}(?!\d)"
+    rf"|(?:\+|00)44{_GAP}(?:\(0\))?(?:{_GAP}\d){{10}}(?!\d)"
+    rf"|(?:\+|00)1{_GAP}\(?\d{{3}}\)?{_GAP}\d{{3}}{_GAP}\d{{4}}(?!\d)"
+    rf"|(?:\+|00)49{_GAP}(?:\(0\))?(?:(?:{_GAP}\d){{10}}|(?:{_GAP}\d){{11}}|(?:{_GAP}\d){{9}})(?!\d)"
+    rf"|\+\d{{1,3}}(?:{_GAP}\(\d{{1,4}}\))?(?:{_GAP}\d){{7,12}}(?!\d)"
+    rf"|06(?:{_GAP}\d){{8}}(?!\d)"
+    rf"|(?:\(0\d{{2}}\)|0\d{{2}}){_GAP}(?:\d{{4}}{_GAP}\d{{4}}|\d{{5}}{_GAP}\d{{3}})(?!\d)"
+    rf"|(?:\(0\d{{4}}\)|0\d{{4}}){_GAP}\d{{3}}{_GAP}\d{{3}}(?!\d)"
+    rf"|(?:\(0\d{{3}}\)|0\d{{3}}){_GAP}\d{{7}}(?!\d)"
+    rf"|(?:\(0\d{{2}}\)|0\d{{2}})(?:{_GAP}\d){{7}}(?!\d)"
+    rf"|(?:\(0\d{{3}}\)|0\d{{3}})(?:{_GAP}\d){{6}}(?!\d)"
+    rf"|(?:\(0\d{{2,4}}\)|0\d{{2,4}}){_GAP}\d{{6,8}}(?!\d)"
+    rf"|[2-9]\d{{2}}-\d{{4}}(?!\d)"
+    rf")(?![-/.:]\d|[^\W\d])".replace(r"\d", "[0-9]").replace("[^\\W[0-9]]", r"[^\W\d]")
 )
 
 _NL_SUFFIX = ("straat", "weg", "laan", "kade", "gracht", "plein", "dijk", "hof", "singel", "steeg", "pad", "markt", "haven", "wal", "hout",
               "straße", "strasse", "str.", "gasse", "allee", "Allee", "platz", "ufer", "ring", "damm", "park", "Straße", "Weg", "Gasse", "Platz")
 _EN_SUFFIX = "Road|Street|Lane|Avenue|Close|Drive|Court|Terrace|Crescent|Place|Square|Gardens|Grove|Way|Row|Hill|Mews|Rd\\.?|St\\.?|Ave\\.?|Ln\\.?"
-_NUMBER = re.compile(r"(?:\s{1,2}|^)(\d{1,4})(?![\d:%]|[.,]\d)")
+_NUMBER = re.compile(r"(?:\s{1,2}|^)([0-9]{1,4})(?![\d:%]|[.,][0-9])")
 #: Digits with their signs; identity and phone numbers are searched around runs of five or more.
-_RUN = re.compile(r"\d(?:[\d\s().\-/]*\d)?")
+_RUN = re.compile(r"[0-9](?:[0-9\s().\-/]*[0-9])?")
 _HOUSE = re.compile(rf"\d{{1,4}}(?:{_SP}bis\b|\s?[a-zA-Z](?![\w'’])(?!\.\s?[A-Z]\.)|-(?:[IVX]{{1,4}}|\d{{1,3}}|[a-z])(?!\w)|/\d{{1,3}}(?!\w))?")
 _STREET_HEAD = re.compile(
     rf"(?:(?:Oude|Korte|Nieuwe|Lange|Kleine|Grote|Eerste|Tweede|Alte|Neue|Kurze|Große|Am|An{_SP}der|An{_SP}den|Auf{_SP}dem|Im|Zum|Zur|Van|De|Het){_SP})?"
@@ -183,7 +195,7 @@ class Finder:
                 while lo < hi and (m := (_IDENTITY if kind == "identity" else _PHONE).search(text, lo, min(len(text), hi + 40))):
                     if m.start() >= hi:
                         break
-                    if self._is_identity(text, m) if kind == "identity" else self._is_phone(m[0]):
+                    if self._is_identity(text, m) if kind == "identity" else self._is_phone(text, m):
                         spans.append((m.start(), m.end(), kind))
                         lo = at = m.end()
                     else:
@@ -202,13 +214,9 @@ class Finder:
         return not _NO_IDENTITY.search(text, max(0, m.start() - 30), m.start())
 
     @staticmethod
-    def _is_phone(s: str) -> bool:
-        digits = re.sub(r"\D", "", s)
-        if s.startswith(("+", "00")):
-            return 9 <= len(digits) <= 15
-        if re.fullmatch(r"\d{1,2}[./-]\d{1,2}[./-]\d{2,4}", s):
-            return False
-        return 10 <= len(digits) <= 12
+    def _is_phone(text: str, m: re.Match) -> bool:
+        digits = sum(map(str.isdigit, m[0]))
+        return digits in (7, *range(9, 16)) and not _NO_IDENTITY.search(text, max(0, m.start() - 30), m.start())
 
     @staticmethod
     def _addresses(text: str) -> list[tuple[int, int, str]]:
