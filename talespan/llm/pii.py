@@ -294,7 +294,7 @@ def placeholder(feistel: Feistel, kind: str, text: str) -> str:
     return f"[{kind.upper()} {feistel.code(kind, text)}]"
 
 
-def given_names(*columns: tuple[DataFrame, str], most: int = 50_000) -> list[str]:
+def given_names(*columns: tuple[DataFrame, str], most: int = 200_000) -> list[str]:
     """First words of full-name columns that look like given names; a checked, bounded list."""
     found: set[str] = set()
     for df, col in columns:
