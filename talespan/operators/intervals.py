@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from talespan.runtime import materialize, shuffle_partitions
@@ -60,17 +60,35 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start_ms", end
     reduced = (rows.repartition(shuffle_partitions(spark), *keys, "block")
                .groupBy(*keys, "block", "s").agg(F.max("e").alias("e")))
 
-    def one_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        held = IntervalMap()
-        for s, e in zip(pdf["s"].tolist(), pdf["e"].tolist()):
-            held.insert(s, e)
-        out = pd.DataFrame({"s": held.starts, "e": held.ends})
-        for c in [*keys, "block"]:
-            out[c] = pdf[c].iloc[0]
-        return out[[*keys, "block", "s", "e"]]
+    n_keys = len(keys)
+
+    def run(batches):
+        """The keyed state of one (entity, block) at a time; its rows lie together."""
+        key, held, out, schema = None, None, [], None
+
+        def flush():
+            cols = [pa.array([k[i] for k, m in out for _ in m.starts], schema.field(i).type) for i in range(n_keys + 1)]
+            cols += [pa.array([x for _, m in out for x in m.starts], pa.int64()), pa.array([x for _, m in out for x in m.ends], pa.int64())]
+            out.clear()
+            return pa.RecordBatch.from_arrays(cols, names=[*keys, "block", "s", "e"])
+
+        for batch in batches:
+            schema = batch.schema
+            cols = [c.to_pylist() for c in batch.columns]
+            for k, s, e in zip(zip(*cols[:n_keys + 1]), cols[n_keys + 1], cols[n_keys + 2]):
+                if k != key:
+                    key, held = k, IntervalMap()
+                    out.append((k, held))
+                held.insert(s, e)
+            if len(out) > 20_000:
+                last = out.pop()
+                yield flush()
+                out.append(last)
+        if out:
+            yield flush()
 
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", block bigint, s bigint, e bigint"
-    local = materialize(reduced.groupBy(*keys, "block").applyInPandas(one_block, schema), "intervals")
+    local = materialize(reduced.sortWithinPartitions(*keys, "block").mapInArrow(run, schema), "intervals")
 
     entity = Window.partitionBy(*keys).orderBy("block")
     past = entity.rowsBetween(Window.unboundedPreceding, -1)
