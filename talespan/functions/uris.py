@@ -11,7 +11,7 @@ def uri_key(uri: Column) -> Column:
     percent-encoded letters. Null when nothing is left."""
     u = F.lower(F.regexp_replace(uri, r"(?U)^[\s<\"']+|[\s>\"']+$", ""))
     u = F.regexp_replace(u, r"[?#].*$", "")
-    u = F.try_url_decode(F.replace(u, F.lit("+"), F.lit("%2b")))
+    u = F.coalesce(F.try_url_decode(F.replace(u, F.lit("+"), F.lit("%2b"))), u)
     u = F.lower(F.regexp_replace(u, r"^(?:[a-z][a-z0-9+.\-]*:(?!\d))?/*(?:www\.)?", ""))
     u = F.regexp_replace(F.regexp_replace(u, r"/{2,}", "/"), r"/+$", "")
     u = F.regexp_replace(u, r":(?:80|443)(?=/|$)", "")

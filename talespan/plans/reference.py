@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from talespan.backends.chat import RuleBackend
 from talespan.backends.embed import HashingEmbedder, embed
 from talespan.functions import prompts, text as tx, vectors as vec
-from talespan.functions.tokens import CharacterCounter, token_count
+from talespan.functions.tokens import CharacterCounter, RankCounter, token_count
 from talespan.operators import batching, matching as m, segmentation as seg, segments as sg, thesaurus as th
 from talespan.operators.topdown import match_topdown
 from talespan.plans import pipeline
@@ -233,6 +233,49 @@ def validation_prompt(spark, d):
     return rows.select("transcript_id", "segment_idx", prompts.validate_prompt_column(F.col("text"), F.transform("matched_concepts", lambda c: c["name"])).alias("prompt"))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query(f"""WITH x AS (SELECT transcript_id, text, row_number() OVER (PARTITION BY transcript_id ORDER BY segment_idx) - 1 AS i FROM ({S}))
+SELECT transcript_id, concat({_quoted(prompts._SELECT)}, string_agg(concat('[', i, '] ', {_FLAT}), chr(10) || chr(10) ORDER BY i)) AS prompt FROM x GROUP BY transcript_id""")
+def selection_prompt(spark, d):
+    rows = both(spark, d, SEGMENTS).groupBy("transcript_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("segment_idx", "text"))), lambda r: r["text"]).alias("t"))
+    return rows.select("transcript_id", prompts.select_prompt_column(F.col("t")).alias("prompt"))
+
+
+@query(f"""SELECT s.transcript_id, s.segment_idx, concat({_quoted(prompts._TOPDOWN)}, m.l, chr(10), 'PART', chr(10), s.text) AS prompt
+FROM ({S}) s JOIN (SELECT transcript_id, segment_idx, string_agg('- ' || name, chr(10) ORDER BY match_id) AS l FROM ({M}) GROUP BY ALL) m USING (transcript_id, segment_idx)""")
+def topdown_prompt(spark, d):
+    rows = _enriched(spark, d).where("size(matched_concepts) > 0")
+    return rows.select("transcript_id", "segment_idx", prompts.topdown_prompt_column(F.transform("matched_concepts", lambda c: c["name"]), F.col("text")).alias("prompt"))
+
+
+def _window_prompt_sql(head: str, seconds: int) -> str:
+    return f"""WITH c AS ({C}), f AS (SELECT *, first_value("end") OVER w AS fe FROM c WINDOW w AS (PARTITION BY transcript_id, tape_no ORDER BY caption_idx)),
+v AS (SELECT *, max(CASE WHEN "end" > fe + {seconds} THEN 1 ELSE 0 END) OVER (PARTITION BY transcript_id, tape_no ORDER BY caption_idx) AS bad FROM f)
+SELECT transcript_id, tape_no, concat({_quoted(head)}, string_agg(concat('[', caption_idx, '][', format('{{:.2f}}', "start"), 's] ', {_FLAT}), chr(10) ORDER BY caption_idx)) AS prompt
+FROM v WHERE bad = 0 GROUP BY transcript_id, tape_no"""
+
+
+def _window_prompt(spark, d, task: str, minutes: int):
+    first = sg.caption_time_prefix(both(spark, d, CAPTIONS), TAPE, minutes)
+    line = tx.caption_line(F.col("caption_idx"), F.col("start"), F.col("text"))
+    lines = first.groupBy(*TAPE).agg(F.transform(F.array_sort(F.collect_list(F.struct("caption_idx", line.alias("l")))), lambda r: r["l"]).alias("l"))
+    return lines.select(*TAPE, prompts.lines_prompt_column(F.col("l"), task).alias("prompt"))
+
+
+@query(_window_prompt_sql(prompts._SEGMENT, 1200))
+def segment_prompt(spark, d):
+    """The prompt of each tape's first window of 20 minutes."""
+    return _window_prompt(spark, d, "segment", 20)
+
+
+@query(_window_prompt_sql(prompts._NAME, 300))
+def name_prompt(spark, d):
+    return _window_prompt(spark, d, "name", 5)
+
+
 # --- segments ------------------------------------------------------------------------------------
 
 
@@ -365,6 +408,17 @@ def mean_pool_normalize(spark, d):
     return rows.select("vec_id", F.array_join(F.transform("p", lambda x: F.format_string("%.4f", F.round(x, 4) + 0.0)), ",").alias("pooled"))
 
 
+@query()
+def token_counter(spark, d):
+    """Tokens of each segment by a public rank file."""
+    return both(spark, d, SEGMENTS).select(*SEG, token_count(F.col("text"), RankCounter()).alias("n_tokens"))
+
+
+@query("SELECT transcript_id, segment_idx, length(text) // 4 AS n_tokens FROM (" + S + ")")
+def character_counter(spark, d):
+    return both(spark, d, SEGMENTS).select(*SEG, token_count(F.col("text"), CharacterCounter()).alias("n_tokens"))
+
+
 @query()
 def concept_embeddings(spark, d):
     """Hashed vectors of all concept texts."""
@@ -451,6 +505,14 @@ def _tree(spark, d):
                                         F.array_distinct(F.flatten(F.collect_list(F.coalesce("top_concept", F.array().cast("array<string>"))))).alias("top_concept"))
 
 
+@query()
+def match_validation(spark, d):
+    """Matches that the backend keeps, asked once per segment with all its candidates."""
+    segments = both(spark, d, SEGMENTS)
+    candidates = both(spark, d, MATCHES).withColumn("match_idx", F.col("match_id")).drop("match_id")
+    return pipeline.validated(segments, candidates, table(spark, d, "ref_concepts"), BACKEND, SEG).select(*SEG, "match_idx", "uri", "source", "score")
+
+
 @query()
 def topdown_bfs(spark, d):
     sets = th.concept_sets(_tree(spark, d))

@@ -43,7 +43,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if where:
         return where
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     where = "file://" + tempfile.mkdtemp(prefix="talespan-stage-")
     spark.conf.set("spark.checkpoint.dir", where)

@@ -27,5 +27,19 @@ def parse_triples(lines: DataFrame, col: str = "value") -> DataFrame:
         kind.alias("o_kind"), "lang", "datatype").dropDuplicates()
 
 
+def download(url: str, path: str) -> str:
+    """Fetch a thesaurus file once, on the driver, before Spark reads it; an existing file stays."""
+    import os
+    import shutil
+    import urllib.request
+
+    if not os.path.exists(path):
+        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+        with urllib.request.urlopen(url) as source, open(path + ".part", "wb") as target:
+            shutil.copyfileobj(source, target)
+        os.replace(path + ".part", path)
+    return path
+
+
 def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
     return parse_triples(spark.read.text(path))

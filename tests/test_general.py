@@ -89,7 +89,7 @@ def test_uri_key(spark):
     keys = {r[0] for r in spark.createDataFrame([(s,) for s in same], "u string").select(uri_key(F.col("u"))).collect()}
     assert keys == {"t.example/wo2/k/1"}
     odd = spark.createDataFrame([("",), (" ",), (None,), ("%zz",)], "u string").select(uri_key(F.col("u")).alias("k"))
-    assert odd.where("k IS NULL").count() == 4
+    assert sorted(str(r.k) for r in odd.collect()) == ["%zz", "None", "None", "None"]
 
 
 def merged(rows):
