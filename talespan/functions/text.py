@@ -74,7 +74,19 @@ def clean_llm_json(col: Column) -> Column:
     return strip(F.regexp_replace(head, r"```\z", ""))
 
 
-_MOJIBAKE = re.compile(r"[ÂÃâ][-¿€-™Œœ ]")
+# UTF-8 read byte by byte as Windows-1252 or Latin-1: a lead byte's character and those of its continuation bytes.
+_TAIL = "[\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]"
+_MOJIBAKE = re.compile(f"[ÂÃ]{_TAIL}|â{_TAIL}{{2}}|(?:[ÐÑ]{_TAIL}){{2,}}|ð{_TAIL}{{3}}")
+
+
+def _unread(m: re.Match) -> str:
+    raw = b"".join(c.encode("latin-1") if ord(c) < 256 else c.encode("cp1252") for c in m[0])
+    try:
+        return raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return m[0]
+
+
 _CONTROL = dict.fromkeys([*range(0, 9), 11, *range(14, 32), 127, 0xFEFF, *range(0xFFF9, 0xFFFC)])
 _CURLY = str.maketrans({"‘": "'", "’": "'", "‚": "'", "‛": "'", "“": '"', "”": '"', "„": '"', "‟": '"', "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl"})
 
@@ -85,12 +97,6 @@ def repair_text(text: str) -> str:
     breaks unified, composed form. A documented subset of full text repair."""
     if "&" in text and "<" not in text:
         text = html.unescape(text)
-    if _MOJIBAKE.search(text):
-        for codec in ("cp1252", "latin-1"):
-            try:
-                text = text.encode(codec).decode("utf-8")
-                break
-            except UnicodeError:
-                continue
+    text = _MOJIBAKE.sub(_unread, text)
     text = text.replace("\r\n", "\n").replace("\r", "\n").translate(_CONTROL).translate(_CURLY)
     return unicodedata.normalize("NFC", text)
