@@ -25,6 +25,7 @@ def caption_chunks(captions: DataFrame, speakers: DataFrame, chunk: int = CHUNK,
     """Captions with ``chunk`` and ``who`` (the tape's speakers as one string), each chunk
     whole and in order in one partition."""
     spark = captions.sparkSession
+    captions = captions.where("caption_idx IS NOT NULL")  # without a number a caption has no place in the order
     cap = captions.select(
         "transcript_id", "tape_no", "caption_idx", "role", "text", "start_ms", "end_ms",
         F.floor(F.col("caption_idx") / F.lit(chunk)).cast("int").alias("chunk"),
@@ -36,8 +37,10 @@ def caption_chunks(captions: DataFrame, speakers: DataFrame, chunk: int = CHUNK,
         cap = cap.join(F.broadcast(who), F.col("transcript_id").eqNullSafe(F.col("w_t")) & F.col("tape_no").eqNullSafe(F.col("w_n")), "left")
     else:
         keys = captions.select("transcript_id", "tape_no", F.floor(F.col("caption_idx") / F.lit(chunk)).cast("int").alias("chunk")).distinct()
-        per_chunk = keys.join(who, (F.col("transcript_id") == F.col("w_t")) & (F.col("tape_no") == F.col("w_n"))).select(*KEYS, "who")
-        cap = cap.join(per_chunk, KEYS, "left")
+        tape = F.col("transcript_id").eqNullSafe(F.col("w_t")) & F.col("tape_no").eqNullSafe(F.col("w_n"))
+        per_chunk = keys.join(who, tape).select(*[F.col(k).alias("k_" + k) for k in KEYS], "who")
+        same = [F.col(k).eqNullSafe(F.col("k_" + k)) for k in KEYS]
+        cap = cap.join(per_chunk, same[0] & same[1] & same[2], "left")
     return cap.select(*KEYS, "caption_idx", "role", "text", "start_ms", "end_ms", "who").sortWithinPartitions(*KEYS, "caption_idx")
 
 

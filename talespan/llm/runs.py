@@ -8,7 +8,8 @@ Scale: the subtraction runs within bounded chunks of a tape (captionchunks.py).
 chunk are final; only runs at chunk edges are written out with their edge words and stitched by
 windows over those few rows, so a run may cross any number of chunks and no task holds a tape.
 
-Cases: null or wordless text ends a run; a caption with words of two speakers is no repeat;
+Cases: a caption without number is left out, as it has no place in the order; null transcript or
+tape numbers form a tape of their own; null or wordless text ends a run; a caption with words of two speakers is no repeat;
 null start or end gives a null duration; rows delivered twice count once; empty tables give no
 runs; other columns are ignored.
 """

@@ -9,7 +9,8 @@ one speaker plus one summary row. Windows run over summary rows only (one per 40
 to carry the speaker and the turn numbers across chunks; stretches that touch are merged by a
 hash aggregation on (tape, turn). No task holds a tape.
 
-Cases: null text or role counts as absent; a caption number delivered twice counts once; words
+Cases: a caption without number is left out, as it has no place in the order; null transcript or
+tape numbers form a tape of their own; null text or role counts as absent; a caption number delivered twice counts once; words
 before any label or role belong to speaker 0; a label without words only changes the speaker;
 very long texts are read whole; empty tables give no turns; other columns are ignored.
 """

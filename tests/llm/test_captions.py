@@ -132,3 +132,14 @@ def test_turn_text_drops_rolling_repeats_and_splits_at_pauses(spark):
     for chunk in (1, 4096):
         split = sorted((r.turn_no, r.first_idx, r.last_idx) for r in turns.speaker_turns(cap, spk, with_text=True, pause_ms=5000, chunk=chunk).collect())
         assert split == [(1, 0, 1), (2, 2, 2)]
+
+
+def test_nulls_in_any_column(spark):
+    rows = [(None, None, 0, "INT", "wie was daar", None, None), (None, None, 1, None, "Wie was daar?", 5, None), (1, None, 3, None, None, None, None), (1, 1, None, None, "zoek", 1, 2), (1, 1, 4, None, "Bakker: ja ja", 1, 2)]
+    cap, spk = frames(spark, rows, [(None, None, 1, "Ann Bakker"), (1, 1, 2, "Bo Bakker"), (1, 1, None, "x"), (1, 1, 1, None)])
+    for limit in (ch.BROADCAST_SPEAKERS, 0):
+        got = [(r.transcript_id, r.who) for r in ch.caption_chunks(cap, spk, 8, broadcast_rows=limit).collect()]
+        assert sorted(got, key=str) == sorted([(None, "1\x1fAnn Bakker"), (None, "1\x1fAnn Bakker"), (1, None), (1, "2\x1fBo Bakker")], key=str)
+    got = {(r.transcript_id, r.tape_no, r.speaker_no, r.n_words) for r in turns.speaker_turns(cap, spk).collect()}
+    assert got == {(None, None, 1, 6), (1, 1, 2, 2)}
+    assert [tuple(r) for r in runs.caption_runs(cap, spk).collect()] == [(None, None, 0, 1, 2, None)]

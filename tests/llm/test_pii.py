@@ -79,3 +79,8 @@ def test_given_names_from_columns(spark):
     assert pii.given_names((df, "full_name")) == ["Femke", "Élan"]
     with pytest.raises(ValueError):
         pii.given_names((df, "full_name"), most=1)
+
+
+def test_null_id_and_repeated_rows(spark):
+    df = spark.createDataFrame([(None, "Bel Truus Bakkers"), (1, "Bel Truus Bakkers"), (1, "Bel Truus Bakkers")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.start_pos, r.end_pos) for r in pii.find_personal(df).collect()) == [(0, 4, 17), (1, 4, 17), (1, 4, 17)]

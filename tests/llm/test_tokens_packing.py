@@ -130,3 +130,11 @@ def test_pack_items_groups(spark):
     assert packing.pack_items(items.limit(0), limits).count() == 0
     with pytest.raises(ValueError):
         packing.pack_items(items, [])
+
+
+def test_null_ids_and_repeated_rows(spark):
+    df = spark.createDataFrame([(None, "a b"), (None, None), (3, "a b"), (3, "a b")], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0), len(r.ids)) for r in tokens.encode_documents(df).collect())
+    assert got == [(0, 0), (0, 2), (3, 2), (3, 2)]
+    packed = packing.pack_items(tokens.count_tokens(df), [("one", 4)]).where("plan = 'one'").collect()
+    assert sum(r.n_tokens for r in packed) == 6 and len(packed) == 4
