@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from talespan.functions.uris import uri_key
-from talespan.runtime import materialize
+from talespan.runtime import materialize, release
 
 #: Remaining edges that one task finishes.
 LOCAL_EDGES = 20_000
@@ -227,7 +227,8 @@ def _topological(nodes, out_of, scc, members) -> list[int]:
 
 
 def _round(edges: DataFrame, raked: DataFrame, k: int):
-    """One rake and one compress step: (records, remaining edges, raked) as stage tables."""
+    """One rake and one compress step: (records, remaining edges, raked, flagged edges) as stage
+    tables; the last is only there to be released."""
     ends = edges.select(F.col("p").alias("n"), F.lit(0).alias("i"), F.lit(1).alias("o"), (F.col("p") == F.col("c")).cast("int").alias("l")).unionAll(
         edges.select(F.col("c").alias("n"), F.lit(1), F.lit(0), F.lit(0)))
     deg = ends.groupBy("n").agg(F.sum("i").alias("i"), F.sum("o").alias("o"), F.max("l").alias("l")).join(raked, F.col("n") == raked["id"], "left").select(
@@ -252,7 +253,7 @@ def _round(edges: DataFrame, raked: DataFrame, k: int):
     left = materialize(rest.select("p", "c", "w", "inner", "hidden").unionByName(new), f"hier-edges-{k}")
     folded = records.where("c IS NULL").groupBy(F.col("p").alias("id")).agg(F.sum(F.col("own") + F.col("i1") + 1).alias("raked"))
     raked = materialize(raked.unionByName(folded).groupBy("id").agg(F.sum("raked").alias("raked")), f"hier-raked-{k}")
-    return records, left, raked
+    return records, left, raked, e
 
 
 def _reverse(records: DataFrame, state: DataFrame) -> DataFrame:
@@ -327,6 +328,7 @@ def descendant_pairs(edges: DataFrame) -> DataFrame:
         left, right = pairs.select("a", F.col("d").alias("m")), pairs.select(F.col("a").alias("m"), "d")
         wider = materialize(pairs.unionByName(left.join(right, "m").select("a", "d")).distinct(), "pairs")
         more = wider.count()
+        release(pairs)
         if more == n:
             return wider
         pairs, n = wider, more
@@ -340,8 +342,11 @@ def hierarchy(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_EDGES
     raked = spark.createDataFrame([], "id int, raked bigint")
     records, count, k = [], edges.count(), 0
     while count > local_edges:
-        gone, edges, raked = _round(edges, raked, k)
+        before = edges, raked
+        gone, edges, raked, flagged = _round(*before, k)
         left = edges.count()
+        for done in (*before, flagged):  # the round's results are written, so its inputs can go
+            release(done)
         k += 1
         if gone.isEmpty():
             break

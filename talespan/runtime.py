@@ -73,10 +73,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(df: DataFrame) -> None:
-    """Delete the files of a stage table that nothing reads any more."""
+    """Delete the files of a stage table that nothing reads any more; other tables are left."""
     files = df.inputFiles()
     for entry in list(_STAGE_DIRS):
-        if any(os.path.basename(entry[1]) in f for f in files[:1]):
+        name = os.path.basename(entry[1])
+        if any(f"/{name}/" in f for f in files[:1]):
             _delete(*entry)
             _STAGE_DIRS.remove(entry)
 
