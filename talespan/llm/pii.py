@@ -16,6 +16,7 @@ characters; overlapping finds fall to the kind earlier in the order; other colum
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import re
 import unicodedata
@@ -243,6 +244,10 @@ def eleven_test(digits: list[int]) -> bool:
     return len(digits) == 9 and any(digits) and (sum(d * w for d, w in zip(digits, range(9, 1, -1))) - digits[8]) % 11 == 0
 
 
+_DATE = re.compile(r"(?P<y1>[0-9]{4})(?P<s1>[-/.])(?P<m1>[0-9]{1,2})(?P=s1)(?P<d1>[0-9]{1,2})|(?P<d2>[0-9]{1,2})(?P<s2>[-/.])(?P<m2>[0-9]{1,2})(?P=s2)(?P<y2>[0-9]{4})")
+_DATE_IN_TEXT = re.compile(rf"(?<![\w./-])(?:{_DATE.pattern})(?![\w/-]|\.[0-9])")
+
+
 class Feistel:
     """Keyed permutation of digit strings of one length, by alternating modular Feistel rounds."""
 
@@ -278,6 +283,31 @@ class Feistel:
         it = iter(new)
         return "".join(next(it) if c.isdigit() else c for c in text)
 
+    def date(self, text: str) -> str:
+        """A numeric date permuted among the days of 1700 to 2199, in its own notation (order,
+        signs, leading zeros); text that is no such date stays."""
+        m = _DATE.fullmatch(text)
+        if not m:
+            return text
+        sign = m["s1"] or m["s2"]
+        year, month, day = (int(m[x + "1"] or m[x + "2"]) for x in "ymd")
+        first, last = datetime.date(1700, 1, 1).toordinal(), datetime.date(2199, 12, 31).toordinal()
+        try:
+            at = datetime.date(year, month, day).toordinal()
+        except ValueError:
+            return text
+        if not first <= at <= last:
+            return text
+        at -= first
+        while True:
+            at = int(self.permute(f"{at:06d}"))
+            if at <= last - first:
+                break
+        new = datetime.date.fromordinal(at + first)
+        width = 2 if all(len(m[x]) == 2 for x in ("m1", "d1") if m[x]) and all(len(m[x]) == 2 for x in ("m2", "d2") if m[x]) else 1
+        parts = [f"{new.day:0{width}d}", f"{new.month:0{width}d}", f"{new.year:04d}"]
+        return sign.join(parts[::-1] if m["y1"] else parts)
+
     def code(self, kind: str, text: str) -> str:
         plain = " ".join(unicodedata.normalize("NFKC", text).casefold().split())
         return hashlib.blake2b(f"{kind}|{plain}".encode(), key=self.key, digest_size=4).hexdigest()
@@ -329,9 +359,10 @@ def find_personal(documents: DataFrame, given: Iterable[str] = (), id_col: str =
     return spread(documents.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, start_pos int, end_pos int, pii_type string")
 
 
-def redact(documents: DataFrame, key: str, given: Iterable[str] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redact(documents: DataFrame, key: str, given: Iterable[str] = (), id_col: str = "doc_id", text_col: str = "text", dates: bool = False) -> DataFrame:
     """Every row with its text redacted: id_col, text, n_found. Equal values get equal
-    placeholders in all documents under one key."""
+    placeholders in all documents under one key. ``dates`` also permutes numeric dates, which
+    are else left as they are."""
     kind = documents.schema[id_col].dataType.simpleString()
     given = sorted(set(given))
 
@@ -348,6 +379,8 @@ def redact(documents: DataFrame, key: str, given: Iterable[str] = (), id_col: st
                             out += [text[at:s], placeholder(feistel, k, text[s:e])]
                             at = e
                         text = "".join([*out, text[at:]])
+                    if dates and text:
+                        text = _DATE_IN_TEXT.sub(lambda m: feistel.date(m[0]), text)
                     texts.append(text)
                     counts.append(len(spans))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int32())], names=[id_col, "text", "n_found"])

@@ -84,3 +84,17 @@ def test_given_names_from_columns(spark):
 def test_null_id_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, "Bel Truus Bakkers"), (1, "Bel Truus Bakkers"), (1, "Bel Truus Bakkers")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.start_pos, r.end_pos) for r in pii.find_personal(df).collect()) == [(0, 4, 17), (1, 4, 17), (1, 4, 17)]
+
+
+def test_dates_keep_their_notation(spark):
+    import datetime as dt
+
+    f = pii.Feistel("k")
+    assert f.date("1943-05-06") != "1943-05-06" and f.date("1943-05-06") == f.date("1943-05-06")
+    days = {f.date((dt.date(1943, 1, 1) + dt.timedelta(n)).strftime("%d.%m.%Y")) for n in range(3000)}
+    assert len(days) == 3000 and all(dt.datetime.strptime(d, "%d.%m.%Y") for d in days)
+    assert f.date("31-02-1943") == "31-02-1943" and f.date("x") == "x" and f.date("1-1-0001") == "1-1-0001"
+    assert dt.datetime.strptime(f.date("6/5/1943"), "%d/%m/%Y") == dt.datetime.strptime(f.date("1943-05-06"), "%Y-%m-%d")
+    df = spark.createDataFrame([(1, "Geboren 06-05-1943 te Ede.")], "doc_id long, text string")
+    assert pii.redact(df, "k").first().text == "Geboren 06-05-1943 te Ede."
+    assert pii.redact(df, "k", dates=True).first().text == f"Geboren {f.date('06-05-1943')} te Ede."
