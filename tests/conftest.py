@@ -6,7 +6,7 @@ import pytest
 
 ROOT = str(Path(__file__).parent.parent)
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, str(Path(__file__).parent), os.environ.get("PYTHONPATH", "")])
 
 SMALL = "/root/testdata/sf0.001"
 NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "captions", "segments", "speakers", "matches",

@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from talespan.backends.chat import RateLimited, Retrying, RuleBackend, backend_for
@@ -78,17 +80,33 @@ def greedy(costs, budget):
     return out
 
 
-def test_token_batches_equal_the_fold(spark):
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=40), st.integers(0, 60), st.integers(1, 12))
+def test_chunked_fold_equals_the_fold(costs, budget, chunk):
+    state, got = (0, 0, 0), []
+    for i in range(0, len(costs), chunk):
+        fold = batching.ChunkFold(np.array(costs[i:i + chunk]), budget)
+        ids, places = fold.assign(*state)
+        got += list(zip(ids.tolist(), places.tolist()))
+        state = batching.compose(state, fold.n, int(fold.total[-1]), *fold.summary(), budget)
+        last = greedy(costs[:i + chunk], budget)[-1]
+        assert state[1:] == (last[1] + 1, last[0]) and state[0] == sum(costs[i + len(fold.total) - 1 - state[1]:i + chunk] if state[1] <= fold.n else costs[max(0, i + fold.n - state[1]):i + chunk])
+    assert got == greedy(costs, budget)
+
+
+@pytest.mark.parametrize("chunk", [4, 64, 65_536])
+def test_token_batches_equal_the_fold(spark, chunk):
     rng = random.Random(3)
-    groups = {k: [rng.randint(1, 60) for _ in range(n)] for k, n in (("a", 300), ("b", 1), ("c", 57))}
+    groups = {k: [rng.randint(1, 60) for _ in range(n)] for k, n in (("a", 300), ("b", 1), (None, 57))}
     rows = [(k, i * 2, c) for k, cs in groups.items() for i, c in enumerate(cs)]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
     try:
-        got = batching.token_batches(spark.createDataFrame(rows, "k string, p int, c int"), ["k"], "p", "c", 50).collect()
+        got = batching.token_batches(spark.createDataFrame(rows, "k string, p int, c int"), ["k"], "p", "c", 50, chunk).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     for k, cs in groups.items():
         assert [(r.batch_id, r.pos_in_batch) for r in sorted((r for r in got if r.k == k), key=lambda r: r.p)] == greedy(cs, 50)
+    assert batching.token_batches(spark.createDataFrame([], "k string, p int, c int"), ["k"], "p", "c", 50).count() == 0
 
 
 def test_exact_occurrence_quirks(spark):
@@ -195,3 +213,22 @@ def test_whole_run_and_resume(spark, tmp_path):
     assert list(json.loads((tmp_path / "out/segments/een_segments.json").read_text())[0]) == ["start", "end", "text"]
     (tmp_path / "out/enriched_segments/twee_enriched_segments.json").unlink()
     assert pipeline.run(spark, config, *args) == 1
+
+
+class FailsOnce:
+    """No JSON at the first call of each prompt."""
+
+    def __init__(self):
+        self.seen = set()
+
+    def complete(self, prompt, system=""):
+        if prompt in self.seen:
+            return "```[1]```"
+        self.seen.add(prompt)
+        return "oops"
+
+
+def test_ask_again_and_nulls(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "k int, p string")
+    assert sorted((r.k, r.raw) for r in seg.ask(rows, FailsOnce(), "p").collect()) == [(1, "oops"), (2, None)]
+    assert sorted((r.k, r.raw) for r in seg.ask(rows, FailsOnce(), "p", retries=1, parallel=2).collect()) == [(1, "```[1]```"), (2, None)]
