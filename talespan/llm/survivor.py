@@ -107,7 +107,11 @@ def _prepared(matches: DataFrame, trust: DataFrame) -> DataFrame:
     score_ok = F.coalesce(~F.isnan("score") & F.col("score").between(0, 1), F.lit(False))
     pattern = (F.when(score_ok, 1).otherwise(0) + F.when(evidence_says(F.col("evidence")), 2).otherwise(0)
                + F.when(F.col("trust_rank").isNotNull(), 4).otherwise(0)).cast("int")
-    late = F.when(F.col("scored_at").isNull(), F.lit(0)).otherwise(-F.unix_micros(F.col("scored_at").cast("timestamp_ltz")) - F.lit(1 << 61))
+    # Microseconds by calendar fields, so that no session time zone can reorder times.
+    at = F.col("scored_at")
+    micros = (F.datediff(at, F.lit("1970-01-01")).cast("bigint") * 86_400_000_000 + F.hour(at).cast("bigint") * 3_600_000_000 + F.minute(at).cast("bigint") * 60_000_000
+              + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("bigint"))
+    late = F.when(at.isNull(), F.lit(0)).otherwise(-micros - F.lit(1 << 61))
     preference = F.struct(F.coalesce("trust_rank", F.lit(_UNKNOWN_RANK)).alias("rank"), late.alias("late"), F.col("match_id").alias("id"))
     return m.select("transcript_id", "segment_idx", "concept", "match_id", "match_idx", "uri", "source", "score", "evidence", "scored_at",
                     pattern.alias("pattern"), preference.alias("preference"))

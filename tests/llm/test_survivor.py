@@ -64,3 +64,15 @@ def test_empty_and_single(spark):
     assert s.survivors(m, t).count() == 0 and s.survivors(m.limit(0), t).count() == 0
     r = s.merged_records(m, t.limit(0)).collect()
     assert len(r) == 1 and r[0].survivor_id == 1 and r[0].score is None and r[0].evidence is None
+
+
+def test_time_zone_does_not_reorder(spark):
+    hour = [dt.datetime(2023, 10, 29, 2, 30), dt.datetime(2023, 10, 29, 3, 59, 59, 999999), dt.datetime(2023, 3, 26, 2, 30, 0, 1), dt.datetime(2023, 3, 26, 2, 30)]
+    rows = [(i, 1, i // 2, 0, "http://t/k/1", None, None, None, x) for i, x in enumerate(hour)]
+    t = spark.createDataFrame(TRUST, "source string, trust_rank int")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Amsterdam")
+    try:
+        got = {r.segment_idx: r.survivor_id for r in s.survivors(spark.createDataFrame(rows, SCHEMA), t).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == {0: 1, 1: 2}
