@@ -118,7 +118,8 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def segment_periods(segments: DataFrame) -> DataFrame:
-    """Periods and gaps of each tape's segments in milliseconds."""
-    ok = segments.where(valid_interval(F.col("start_s"), F.col("end_s"))).select(
-        "transcript_id", "tape_no", F.round(F.col("start_s") * 1000).cast("bigint").alias("start_ms"), F.round(F.col("end_s") * 1000).cast("bigint").alias("end_ms"))
-    return merge_intervals(ok, ["transcript_id", "tape_no"])
+    """Periods and gaps of each tape's segments in milliseconds. Times too large for whole
+    milliseconds are left out like missing ones."""
+    ms = lambda c: F.round(F.col(c).cast("double") * 1000).try_cast("bigint")
+    ok = segments.where(valid_interval(F.col("start_s"), F.col("end_s"))).select("transcript_id", "tape_no", ms("start_s").alias("start_ms"), ms("end_s").alias("end_ms"))
+    return merge_intervals(ok.where("start_ms IS NOT NULL AND end_ms IS NOT NULL"), ["transcript_id", "tape_no"])

@@ -128,7 +128,7 @@ def test_merge_intervals_over_blocks(spark, block):
 
 
 def test_segment_periods_dirt(spark):
-    rows = [(1, 1, 0.0, 1.0), (1, 1, 1.0, 2.0), (1, 1, 1.0, 2.0), (1, 1, 5.0, 4.0), (1, 1, 6.0, 6.0), (1, 1, None, 9.0), (1, 1, float("nan"), 9.0), (1, 1, 3.0005, 4.0), (1, 2, -1.0, 1.0)]
+    rows = [(1, 1, 0.0, 1.0), (1, 1, 1.0, 2.0), (1, 1, 1.0, 2.0), (1, 1, 5.0, 4.0), (1, 1, 6.0, 6.0), (1, 1, None, 9.0), (1, 1, float("nan"), 9.0), (1, 1, 3.0005, 4.0), (1, 2, -1.0, 1.0), (1, 2, 2.0, float("inf")), (1, 2, -1e300, 5.0), (1, 3, 1e300, 2e300)]
     df = spark.createDataFrame(rows, "transcript_id long, tape_no int, start_s double, end_s double")
     got = sorted((r.tape_no, r.kind, r.start_ms, r.end_ms) for r in segment_periods(df).collect())
     assert got == [(1, "gap", 2000, 3001), (1, "period", 0, 2000), (1, "period", 3001, 4000), (2, "period", -1000, 1000)]
