@@ -24,11 +24,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from talespan.functions.uris import uri_key
+from talespan.functions.uris import uri_form
 
-# Stand-ins for "no evidence", compared in lower case without blanks at the ends.
-STAND_INS = ("none", "n/a", "na", "n.a.", "—", "–", "-", "--", "geen", "n.v.t.", "nvt", "onbekend", "null", "nan", "unknown", "unbekannt",
-             "keine", "nihil", "nil", "tbd", "empty", "leeg", "niet bekend", "not available", "not applicable", "k.a.", "x")
+# Stand-ins for "no evidence"; between their letters any signs and blanks may stand.
+STAND_INS = ("none", "na", "geen", "nvt", "onbekend", "null", "nan", "unknown", "unbekannt", "keine", "nihil", "nil", "tbd", "leeg", "empty",
+             "nietbekend", "notavailable", "notapplicable", "ka")
+_SIGNS = r"[^\p{L}\p{N}]*"
+_EMPTY = f"(?i)^{_SIGNS}(?:(?:" + "|".join(_SIGNS.join(w) for w in STAND_INS) + f"){_SIGNS})?$"
 BUNDLES = ("survivor", "score", "evidence")
 _UNKNOWN_RANK = 1_000_000
 
@@ -40,9 +42,7 @@ def source_key(source: Column) -> Column:
 
 def evidence_says(evidence: Column) -> Column:
     """Whether an evidence text says something: it holds a letter or digit and is no stand-in."""
-    e = F.lower(F.regexp_replace(evidence, r"(?U)^[\s\"'.()\[\]]+|[\s\"'()\[\]]+$", ""))
-    return F.coalesce(e.rlike(r"[\p{L}\p{N}]") & ~F.regexp_replace(e, r"(?U)\s+", " ").isin(*STAND_INS)
-                      & ~F.regexp_replace(e, r"[.]+$", "").isin(*STAND_INS), F.lit(False))
+    return F.coalesce(~evidence.rlike(_EMPTY), F.lit(False))
 
 
 def branch_and_bound(pattern: np.ndarray, preference: np.ndarray) -> tuple[int, int, int]:
@@ -102,8 +102,8 @@ def _prepared(matches: DataFrame, trust: DataFrame) -> DataFrame:
     if ranks.count() <= 10_000:
         ranks = F.broadcast(ranks)
     m = matches.select("match_id", "transcript_id", "segment_idx", "match_idx", "uri", "source", "score", "evidence", "scored_at",
-                       uri_key(F.col("uri")).alias("concept"), source_key(F.col("source")).alias("s_key"))
-    m = m.where("concept IS NOT NULL AND match_id IS NOT NULL").join(ranks, F.col("s_key") == F.col("t_key"), "left")
+                       uri_form(F.col("uri")).alias("concept"), source_key(F.col("source")).alias("s_key"))
+    m = m.where("uri IS NOT NULL AND match_id IS NOT NULL").join(ranks, F.col("s_key") == F.col("t_key"), "left")
     score_ok = F.coalesce(~F.isnan("score") & F.col("score").between(0, 1), F.lit(False))
     pattern = (F.when(score_ok, 1).otherwise(0) + F.when(evidence_says(F.col("evidence")), 2).otherwise(0)
                + F.when(F.col("trust_rank").isNotNull(), 4).otherwise(0)).cast("int")
@@ -123,9 +123,10 @@ def survivors(matches: DataFrame, trust: DataFrame) -> DataFrame:
     group = ["transcript_id", "segment_idx", "concept"]
     best = (_prepared(matches, trust).groupBy(*group, "pattern")
             .agg(F.min("preference").alias("p"), F.min("match_id").alias("low"), F.max("match_id").alias("high")))
+    # The form's length is an aggregate, so the test for empty forms is not copied into the scan.
     found = best.groupBy(*group).agg(
-        F.array_sort(F.collect_list(F.struct("p", "pattern"))).alias("c"), F.min("low").alias("low"), F.max("high").alias("high")
-    ).where("low <> high")
+        F.array_sort(F.collect_list(F.struct("p", "pattern"))).alias("c"), F.min("low").alias("low"), F.max("high").alias("high"), F.max(F.length("concept")).alias("form")
+    ).where("low <> high AND form > 0")
     chosen = found.select("transcript_id", "segment_idx", _choose(F.col("c.pattern"), F.col("c.p.id")).alias("x"))
     return chosen.select("transcript_id", "segment_idx", F.col("x.survivor").alias("survivor_id"),
                          F.col("x.score").alias("score_id"), F.col("x.evidence").alias("evidence_id"))
@@ -139,7 +140,7 @@ def merged_records(matches: DataFrame, trust: DataFrame) -> DataFrame:
     ready = _prepared(matches, trust)
     row = F.struct("preference", "pattern", "match_idx", "uri", "source", "scored_at", "score", "evidence")
     best = ready.groupBy(*group, "pattern").agg(F.min_by(row, "preference").alias("r"), F.count_distinct("match_id").alias("n"))
-    found = best.groupBy(*group).agg(F.array_sort(F.collect_list("r")).alias("c"), F.sum("n").alias("n_records"))
+    found = best.groupBy(*group).agg(F.array_sort(F.collect_list("r")).alias("c"), F.sum("n").alias("n_records"), F.max(F.length("concept")).alias("form")).where("form > 0")
     x = found.withColumn("x", _choose(F.col("c.pattern"), F.col("c.preference.id")))
     pick = lambda b: F.get(F.filter("c", lambda r: r["preference"]["id"] == F.col(f"x.{b}")), F.lit(0))
     return x.select("transcript_id", "segment_idx", "concept", F.col("x.survivor").alias("survivor_id"), pick("survivor")["match_idx"].alias("match_idx"),
