@@ -15,7 +15,7 @@ from talespan.functions.tokens import CharacterCounter, RankCounter, token_count
 from talespan.operators import batching, matching as m, segmentation as seg, segments as sg, thesaurus as th
 from talespan.operators.topdown import match_topdown
 from talespan.plans import pipeline
-from talespan.runtime import checkpoint_dir, materialize, table
+from talespan.runtime import materialize, stage_path, table
 from talespan.sinks import documents as sink
 from talespan.sources import incremental, ntriples, vtt
 
@@ -194,7 +194,7 @@ def serialize_enriched(spark, d):
 def json_roundtrip(spark, d):
     """Enriched segments written as JSON lines by transcript and read again."""
     rows = _enriched(spark, d)
-    path = f"{checkpoint_dir(spark)}/talespan/json-roundtrip"
+    path = stage_path(spark, "json-roundtrip")
     sink.write_partitioned(rows, path, "transcript_id")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return _as_json(spark.read.schema(schema).json(path))

@@ -58,6 +58,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; its files are removed when the interpreter ends."""
+    path = f"{checkpoint_dir(spark)}/talespan/{name}-{uuid.uuid4().hex}"
+    _STAGE_DIRS.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a parquet stage table in the shared folder and read it back.
 
@@ -66,9 +73,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     interpreter ends, or earlier by :func:`release`.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/talespan/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.parquet(path)
-    _STAGE_DIRS.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
