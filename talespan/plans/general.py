@@ -51,6 +51,12 @@ SELECT n.id AS concept_idx, coalesce(near.s.root, -1) AS root_idx, coalesce(near
        CAST((SELECT count(*) FROM reach WHERE a = n.id AND d <> n.id) AS INTEGER) AS n_descendants,
        CAST((SELECT count(*) FROM reach WHERE a = n.id AND d = n.id) AS INTEGER) AS in_cycle
 FROM n LEFT JOIN near ON near.id = n.id""",
+    "p3_paths": _EDGES + """,
+down(root, id, path) AS (
+  SELECT id, id, [id] FROM n WHERE id NOT IN (SELECT c FROM e)
+  UNION ALL SELECT down.root, e.c, list_append(down.path, e.c) FROM down JOIN e ON e.p = down.id WHERE NOT list_contains(down.path, e.c)),
+best AS (SELECT id, min(struct_pack(n := len(path), root := root, path := path)) AS s FROM down GROUP BY id)
+SELECT n.id AS concept_idx, coalesce(array_to_string(best.s.path, '/'), '') AS path FROM n LEFT JOIN best ON best.id = n.id""",
     "p3_descendants": _EDGES + " SELECT a AS concept_idx, d AS descendant_idx FROM reach WHERE a <> d",
     "p5_found": """
 WITH v AS (SELECT DISTINCT transcript_id, tape_no, CAST(round(start_s * 1000) AS BIGINT) AS s, CAST(round(end_s * 1000) AS BIGINT) AS e
