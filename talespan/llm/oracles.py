@@ -1,5 +1,7 @@
 """DuckDB SQL of those queries in queries.py that SQL can express."""
 
+from talespan.llm.canonical import GENERAL
+
 _CLEAN_URI = r"""regexp_replace(regexp_replace(regexp_replace(lower(url_decode(regexp_replace(lower(regexp_replace(uri, '^[\s<]+|[\s>]+$', '', 'g')), '[?#].*$', ''))), '^(https?:)?/*(www\.)?', ''), '/{2,}', '/', 'g'), '/+$', '')"""
 
 _P2 = rf"""
@@ -14,7 +16,26 @@ r AS (
 p AS (SELECT *, row_number() OVER (PARTITION BY transcript_id, segment_idx, concept ORDER BY tr, scored_at DESC NULLS LAST, match_id) AS pref FROM r)
 """
 
+# A plain form of problem 1: general words removed, letters joined, distance to every name.
+_GENERAL = "', '".join(sorted(GENERAL))
+_SQUEEZE = f"""array_to_string(list_filter(regexp_extract_all(regexp_replace(strip_accents(lower({{0}})), '\\b((?:[a-z]\\.)+[a-z]?)', replace(regexp_extract(strip_accents(lower({{0}})), '\\b((?:[a-z]\\.)+[a-z]?)', 1), '.', '')), '[a-z]+'),
+  lambda w: w NOT IN ('{_GENERAL}')), '')"""
+_P1 = f"""
+WITH n AS (SELECT uri, unnest(list_concat([name], coalesce(alternate_names, []))) AS name FROM ref_concepts),
+r AS (SELECT DISTINCT uri, {_SQUEEZE.format('name')} AS form FROM n WHERE name IS NOT NULL),
+l AS (SELECT DISTINCT transcript_id, segment_idx, unnest(regexp_split_to_array(text, '[\\n\\r]')) AS line FROM segments WHERE seg_type = 'keyword'),
+p AS (SELECT transcript_id, segment_idx, unnest(regexp_split_to_array(regexp_replace(trim(line, chr(9) || ' "''#'), '(?i)^\\s*(trefwoord|keyword|tw|plaats/onderwerp|thema)\\s*[:–]\\s*', ''), '[;|+/,]')) AS piece FROM l),
+v AS (SELECT DISTINCT transcript_id, segment_idx, trim(piece, chr(9) || ' "''“”„#?!.-–') AS value FROM p),
+f AS (SELECT *, {_SQUEEZE.format('value')} AS form FROM v),
+u AS (SELECT DISTINCT form FROM f WHERE form <> ''),
+d AS (SELECT u.form, r.uri, damerau_levenshtein(u.form, r.form) AS dist FROM u JOIN r ON abs(length(u.form) - length(r.form)) <= 2),
+b AS (SELECT form, uri FROM d WHERE dist <= 2 QUALIFY dist = min(dist) OVER (PARTITION BY form)),
+o AS (SELECT f.transcript_id, f.segment_idx, f.value, coalesce(b.uri, 'unmatched') AS uri FROM f LEFT JOIN b USING (form) WHERE f.form <> '')
+"""
+
 ORACLES = {
+    "p1_found": _P1 + "SELECT DISTINCT transcript_id, segment_idx, uri FROM o",
+    "p1_unmatched": _P1 + "SELECT lower(value) AS value, count(DISTINCT (transcript_id, segment_idx)) AS n_segments FROM o WHERE uri = 'unmatched' GROUP BY 1",
     "p2_found": _P2 + """
 SELECT transcript_id, segment_idx,
        arg_min(match_id, pref - 1000000 * (s_ok + e_ok + t_ok)) AS survivor_id,
