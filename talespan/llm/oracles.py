@@ -6,9 +6,9 @@ _CLEAN_URI = r"""regexp_replace(regexp_replace(regexp_replace(lower(url_decode(r
 
 _P2 = rf"""
 WITH t AS (SELECT regexp_replace(lower(source), '[^\p{{L}}\p{{N}}]+', '', 'g') AS k, min(trust_rank) AS trust_rank FROM source_trust GROUP BY 1),
-m AS (SELECT DISTINCT match_id, transcript_id, segment_idx, {_CLEAN_URI} AS concept, score, evidence, source, scored_at FROM matches),
+m AS (SELECT DISTINCT match_id, transcript_id, segment_idx, match_idx, {_CLEAN_URI} AS concept, score, evidence, source, scored_at FROM matches),
 r AS (
-  SELECT m.match_id, transcript_id, segment_idx, concept, coalesce(trust_rank, 1000000) AS tr, scored_at,
+  SELECT m.match_id, transcript_id, segment_idx, match_idx, concept, score, evidence, source, coalesce(trust_rank, 1000000) AS tr, scored_at,
          CASE WHEN score IS NOT NULL AND NOT isnan(score) AND score >= 0 AND score <= 1 THEN 1 ELSE 0 END AS s_ok,
          CASE WHEN regexp_matches(evidence, '[\p{{L}}\p{{N}}]') AND lower(trim(evidence)) NOT IN ('none', 'n/a', 'geen', 'n.v.t.', 'null', 'onbekend') THEN 1 ELSE 0 END AS e_ok,
          CASE WHEN trust_rank IS NOT NULL THEN 1 ELSE 0 END AS t_ok
@@ -36,6 +36,12 @@ o AS (SELECT f.transcript_id, f.segment_idx, f.value, coalesce(b.uri, 'unmatched
 ORACLES = {
     "p1_found": _P1 + "SELECT DISTINCT transcript_id, segment_idx, uri FROM o",
     "p1_unmatched": _P1 + "SELECT lower(value) AS value, count(DISTINCT (transcript_id, segment_idx)) AS n_segments FROM o WHERE uri = 'unmatched' GROUP BY 1",
+    "p2_merged": _P2 + """,
+g AS (SELECT transcript_id, segment_idx, concept, count(*) AS n_records,
+       arg_min(struct_pack(id := match_id, i := match_idx, s := source, at := scored_at), pref - 1000000 * (s_ok + e_ok + t_ok)) AS best,
+       arg_min(struct_pack(v := score), pref) FILTER (WHERE s_ok = 1) AS sc, arg_min(struct_pack(v := evidence), pref) FILTER (WHERE e_ok = 1) AS ev
+FROM p GROUP BY transcript_id, segment_idx, concept)
+SELECT transcript_id, segment_idx, concept, best.id AS survivor_id, best.i AS match_idx, best.s AS source, best.at AS scored_at, sc.v AS score, ev.v AS evidence, n_records FROM g""",
     "p2_found": _P2 + """
 SELECT transcript_id, segment_idx,
        arg_min(match_id, pref - 1000000 * (s_ok + e_ok + t_ok)) AS survivor_id,
