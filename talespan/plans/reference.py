@@ -490,7 +490,8 @@ def interviewee_names(spark, d):
     return seg.interviewee_names(_files(spark, d), BACKEND, ["file_name"])
 
 
-@query()
+@query(f"""SELECT transcript_id, CAST(row_number() OVER (PARTITION BY transcript_id ORDER BY segment_idx) - 1 AS INTEGER) AS selection_idx, segment_idx
+FROM ({S}) WHERE length({_FLAT}) >= 60""")
 def segment_choice(spark, d):
     costed = both(spark, d, SEGMENTS).withColumn("tokens", token_count(F.col("text"), CharacterCounter()))
     return seg.choose_segments(costed, BACKEND, ["transcript_id"], "tokens", 4000).select("transcript_id", "selection_idx", "segment_idx")
