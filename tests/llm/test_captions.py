@@ -143,3 +143,12 @@ def test_nulls_in_any_column(spark):
     got = {(r.transcript_id, r.tape_no, r.speaker_no, r.n_words) for r in turns.speaker_turns(cap, spk).collect()}
     assert got == {(None, None, 1, 6), (1, 1, 2, 2)}
     assert [tuple(r) for r in runs.caption_runs(cap, spk).collect()] == [(None, None, 0, 1, 2, None)]
+
+
+def test_a_hot_tape_is_spread(spark):
+    cap, spk = frames(spark, [(1, 1, i, None, "ja", i, i + 1) for i in range(3000)])
+    got = ch.caption_chunks(cap, spk, 100).select(F.spark_partition_id().alias("p"), "chunk", "caption_idx").collect()
+    assert len({r.p for r in got}) > 1 and len(got) == 3000
+    assert all(len({r.p for r in got if r.chunk == c}) == 1 for c in {r.chunk for r in got})
+    assert [(r.first_idx, r.last_idx, r.n_captions) for r in runs.caption_runs(cap, spk, 100).collect()] == [(0, 2999, 3000)]
+    assert [(r.first_idx, r.last_idx, r.n_words) for r in turns.speaker_turns(cap, spk, chunk=100).collect()] == [(0, 2999, 3000)]
