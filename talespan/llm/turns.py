@@ -7,7 +7,8 @@ calibrated pauses.
 Scale: chunks of a tape are read independently (captionchunks.py); each yields its stretches of
 one speaker plus one summary row. Windows run over summary rows only (one per 4096 captions)
 to carry the speaker and the turn numbers across chunks; stretches that touch are merged by a
-hash aggregation on (tape, turn). No task holds a tape.
+hash aggregation on (tape, turn). No task holds a tape. For texts a stretch at a chunk edge also
+gives its first captions as they came, so repeats across edges are found when it is joined.
 
 Cases: a caption without number is left out, as it has no place in the order; null transcript or
 tape numbers form a tape of their own; null text or role counts as absent; a caption number delivered twice counts once; words
@@ -17,6 +18,7 @@ very long texts are read whole; empty tables give no turns; other columns are ig
 
 from __future__ import annotations
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -29,7 +31,7 @@ _FIELDS = [("transcript_id", "bigint", pa.int64()), ("tape_no", "int", pa.int32(
            ("first_idx", "int", pa.int32()), ("last_idx", "int", pa.int32()), ("n_words", "bigint", pa.int64()),
            ("first_spk", "int", pa.int32()), ("second_spk", "int", pa.int32()), ("last_spk", "int", pa.int32()),
            ("first_pause", "boolean", pa.bool_()), ("start_ms", "bigint", pa.int64()), ("end_ms", "bigint", pa.int64()),
-           ("text", "string", pa.string())]
+           ("text", "string", pa.string()), ("head", "string", pa.string())]
 _SCHEMA = ", ".join(f"{n} {t}" for n, t, _ in _FIELDS)
 _ARROW = pa.schema([(n, t) for n, _, t in _FIELDS])
 
@@ -43,12 +45,53 @@ def overlap(tail: list[str], head: list[str], most: int = 40) -> int:
     return 0
 
 
+def unrolled(said: list[list[str]], words: WordTable) -> tuple[list[str], int]:
+    """Words of a stretch without rolling repeats, and how many of its captions must be compared
+    anew when words precede it: those up to the last one longer than all since such a one before it."""
+    out, plain, since, n_head = [], [], 0, 0
+    for i, found in enumerate(said):
+        own = [words.get(w) for w in found]
+        k = overlap(plain[-len(own):], own)
+        if len(own) > since:
+            since, n_head = len(own), i + 1
+        else:
+            since += len(own) - k
+        out.extend(found[k:])
+        plain.extend(own[k:])
+    return out, n_head
+
+
+def _joined_text(parts: pd.Series) -> pd.Series:
+    """One text of a turn's stretches in order, rolling repeats across their edges removed."""
+    words = WordTable()
+
+    def one(stretches) -> str | None:
+        if stretches is None:
+            return None
+        out, plain = [], []
+        for i, x in enumerate(stretches):
+            own, said = x["text"].split(" "), []
+            if i:
+                said = [c.split(" ") for c in x["head"].split("\n")]
+                own = own[len(unrolled(said, words)[0]):]
+            for found in said:
+                head = [words.get(w) for w in found]
+                k = overlap(plain[-len(head):], head)
+                out.extend(found[k:])
+                plain.extend(head[k:])
+            out.extend(own)
+            plain.extend(words.get(w) for w in own)
+        return " ".join(out)
+
+    return parts.map(one)
+
+
 def _stretches(with_text: bool, pause_ms: int | None):
     words = WordTable()
 
     def work(key, who, rows, emit):
         labels = labels_of(who)
-        state, out, tail, last_end = None, [], [], None
+        state, out, last_end = None, [], None
         for idx, role, text, start, end in rows:
             got = pieces(text, labels, words)
             if role is not None and (r := labels.get(role)) is not None:
@@ -65,22 +108,22 @@ def _stretches(with_text: bool, pause_ms: int | None):
                 else:
                     s = [state, idx, idx, len(found), start, None, []]
                     out.append(s)
-                    tail = []
                 split = False
                 if end is not None:
                     s[5] = end if s[5] is None else max(s[5], end)
                 if with_text:
-                    plain = [words.get(w) for w in found]
-                    k = overlap(tail, plain)
-                    s[6].extend(found[k:])
-                    tail = (tail + plain[k:])[-40:]
+                    s[6].append(found)
             if end is not None:
                 last_end = end if last_end is None else max(last_end, end)
         for seq, s in enumerate(out):
-            emit((*key, False, seq, s[0], s[1], s[2], s[3], None, None, None, None, s[4], s[5], " ".join(s[6]) if with_text else None))
+            text = head = None
+            if with_text:
+                got, n_head = unrolled(s[6], words)
+                text, head = " ".join(got), "\n".join(" ".join(w) for w in s[6][:n_head]) if seq < 2 else None
+            emit((*key, False, seq, s[0], s[1], s[2], s[3], None, None, None, None, s[4], s[5], text, head))
         n = len(out)
         emit((*key, True, n, state, None, None, None, out[0][0] if n else None, out[1][0] if n > 1 else None,
-              out[-1][0] if n else None, None, rows[0][3], last_end, None))
+              out[-1][0] if n else None, None, rows[0][3], last_end, None, None))
 
     return work
 
@@ -112,7 +155,7 @@ def speaker_turns(captions: DataFrame, speakers: DataFrame, *, with_text: bool =
     carried = carried.select(*[F.col(k).alias("k_" + k) for k in KEYS], "carry", "joins", "joins2", "before")
     same = [F.col(k).eqNullSafe(F.col("k_" + k)) for k in KEYS]
     numbered = parts.where("NOT summary").join(carried, same[0] & same[1] & same[2]).select(
-        "transcript_id", "tape_no", "first_idx", "last_idx", "n_words", "chunk", "seq", "start_ms", "end_ms", "text",
+        "transcript_id", "tape_no", "first_idx", "last_idx", "n_words", "chunk", "seq", "start_ms", "end_ms", "text", "head",
         F.coalesce("speaker", "carry").alias("speaker_no"),
         (F.col("before") + F.col("seq") + 1 - F.col("joins") - F.when(F.col("seq") >= 1, F.col("joins2")).otherwise(0)).cast("int").alias("turn_no"),
     )
@@ -120,8 +163,11 @@ def speaker_turns(captions: DataFrame, speakers: DataFrame, *, with_text: bool =
             F.max("last_idx").alias("last_idx"), F.sum("n_words").cast("int").alias("n_words")]
     if with_text:
         aggs += [F.min_by("start_ms", "first_idx").alias("start_ms"), F.max("end_ms").alias("end_ms"),
-                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "seq", "text"))), lambda x: x["text"]), " ").alias("text")]
+                 F.array_sort(F.collect_list(F.struct("chunk", "seq", "text", "head"))).alias("parts")]
     turns = numbered.groupBy("transcript_id", "tape_no", "turn_no").agg(*aggs)
+    if with_text:
+        across = F.pandas_udf(_joined_text, "string")(F.when(F.size("parts") > 1, F.col("parts")))
+        turns = turns.withColumn("text", F.coalesce(across, F.col("parts")[0]["text"]))
     keep = ["transcript_id", "tape_no", "turn_no", "speaker_no", "first_idx", "last_idx", "n_words"]
     return turns.select(*keep, *(["start_ms", "end_ms", "text"] if with_text else []))
 

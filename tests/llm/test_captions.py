@@ -134,6 +134,47 @@ def test_turn_text_drops_rolling_repeats_and_splits_at_pauses(spark):
         assert split == [(1, 0, 1), (2, 2, 2)]
 
 
+def rolling_captions(seed, n=300):
+    """Captions that repeat from one to many of the words before them, some shorter than what is repeated next."""
+    rng, said, rows = random.Random(seed), [], []
+    for idx in range(n):
+        again = said[len(said) - rng.choice([0, 0, 1, 2, 3, 4, 6, 9]):] if said else []
+        own = again + [rng.choice(["wij", "gingen", "naar", "de", "stad", "toen"]) for _ in range(rng.choice([0, 1, 2, 2, 5]))]
+        said = (said + own[len(again):])[-30:]
+        label = rng.choice([""] * 8 + ["INT: ", "A: "])
+        rows.append((1, 1, idx, None, label + " ".join(own), idx * 1000, idx * 1000 + 900))
+    return rows
+
+
+def brute_texts(rows):
+    labels, words, state, out = Labels([(1, "Ann Bakker"), (2, "Bo Smid")]), WordTable(), 0, []
+    for r in rows:
+        for s, w in pieces(r[4], labels, words):
+            state = state if s is None else s
+            if w:
+                if not out or out[-1][0] != state:
+                    out.append((state, []))
+                got = out[-1][1]
+                k = turns.overlap([words.get(x) for x in got], [words.get(x) for x in w])
+                got.extend(w[k:])
+    return [(s, " ".join(w)) for s, w in out]
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 4096])
+def test_turn_texts_equal_one_pass(spark, chunk):
+    rows = rolling_captions(4)
+    cap, spk = frames(spark, rows)
+    got = turns.speaker_turns(cap, spk, with_text=True, chunk=chunk).orderBy("turn_no").collect()
+    assert [(r.speaker_no, r.text) for r in got] == brute_texts(rows)
+
+
+def test_turn_text_with_a_repeat_that_starts_before_the_chunk(spark):
+    rows = [(1, 1, 3, "INT", "een twee drie vier", 0, 1), (1, 1, 4, None, "vijf", 1, 2), (1, 1, 5, None, "drie vier vijf zes", 2, 3), (1, 1, 6, None, "vijf zes zeven", 3, 4)]
+    cap, spk = frames(spark, rows)
+    for chunk in (1, 4, 5, 4096):
+        assert [r.text for r in turns.speaker_turns(cap, spk, with_text=True, chunk=chunk).collect()] == ["een twee drie vier vijf zes vijf zes zeven"]
+
+
 def test_nulls_in_any_column(spark):
     rows = [(None, None, 0, "INT", "wie was daar", None, None), (None, None, 1, None, "Wie was daar?", 5, None), (1, None, 3, None, None, None, None), (1, 1, None, None, "zoek", 1, 2), (1, 1, 4, None, "Bakker: ja ja", 1, 2)]
     cap, spk = frames(spark, rows, [(None, None, 1, "Ann Bakker"), (1, 1, 2, "Bo Bakker"), (1, 1, None, "x"), (1, 1, 1, None)])
