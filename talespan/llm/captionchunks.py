@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from talespan.llm.captiontext import Labels
 from talespan.runtime import shuffle_partitions
@@ -21,15 +21,21 @@ KEYS = ["transcript_id", "tape_no", "chunk"]
 BROADCAST_SPEAKERS = 100_000
 
 
-def caption_chunks(captions: DataFrame, speakers: DataFrame, chunk: int = CHUNK, broadcast_rows: int = BROADCAST_SPEAKERS) -> DataFrame:
+def caption_chunks(captions: DataFrame, speakers: DataFrame, chunk: int = CHUNK, broadcast_rows: int = BROADCAST_SPEAKERS, ends: bool = False) -> DataFrame:
     """Captions with ``chunk`` and ``who`` (the tape's speakers as one string), each chunk
-    whole and in order in one partition."""
+    whole and in order in one partition. With ``ends`` a first row without caption_idx gives in
+    end_ms the latest end of the tape's chunks before, if there is one."""
     spark = captions.sparkSession
     captions = captions.where("caption_idx IS NOT NULL")  # without a number a caption has no place in the order
     cap = captions.select(
         "transcript_id", "tape_no", "caption_idx", "role", "text", "start_ms", "end_ms",
         F.floor(F.col("caption_idx") / F.lit(chunk)).cast("int").alias("chunk"),
-    ).repartition(shuffle_partitions(spark), *KEYS)
+    )
+    if ends:
+        past = Window.partitionBy("transcript_id", "tape_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+        before = cap.groupBy(*KEYS).agg(F.max("end_ms").alias("own")).withColumn("end_ms", F.max("own").over(past)).where("end_ms IS NOT NULL")
+        cap = cap.unionByName(before.drop("own"), allowMissingColumns=True)
+    cap = cap.repartition(shuffle_partitions(spark), *KEYS)
     who = (speakers.where("speaker_no IS NOT NULL AND full_name IS NOT NULL")
            .groupBy(F.col("transcript_id").alias("w_t"), F.col("tape_no").alias("w_n"))
            .agg(F.array_join(F.sort_array(F.collect_set(F.concat_ws("\x1f", F.col("speaker_no").cast("string"), "full_name"))), "\x1e").alias("who")))

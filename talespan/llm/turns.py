@@ -6,13 +6,14 @@ calibrated pauses.
 
 Scale: chunks of a tape are read independently (captionchunks.py); each yields its stretches of
 one speaker plus one summary row. Windows run over summary rows only (one per 4096 captions)
-to carry the speaker and the turn numbers across chunks; stretches that touch are merged by a
+to carry the speaker, open pauses and the turn numbers across chunks; stretches that touch are merged by a
 hash aggregation on (tape, turn). No task holds a tape. For texts a stretch at a chunk edge also
 gives its first captions as they came, so repeats across edges are found when it is joined.
 
 Cases: a caption without number is left out, as it has no place in the order; null transcript or
 tape numbers form a tape of their own; null text or role counts as absent; a caption number delivered twice counts once; words
 before any label or role belong to speaker 0; a label without words only changes the speaker;
+a pause before a caption without words splits at the next words, in its chunk or a later one;
 very long texts are read whole; empty tables give no turns; other columns are ignored.
 """
 
@@ -29,8 +30,8 @@ from talespan.runtime import materialize
 _FIELDS = [("transcript_id", "bigint", pa.int64()), ("tape_no", "int", pa.int32()), ("chunk", "int", pa.int32()),
            ("summary", "boolean", pa.bool_()), ("seq", "int", pa.int32()), ("speaker", "int", pa.int32()),
            ("first_idx", "int", pa.int32()), ("last_idx", "int", pa.int32()), ("n_words", "bigint", pa.int64()),
-           ("first_spk", "int", pa.int32()), ("second_spk", "int", pa.int32()), ("last_spk", "int", pa.int32()),
-           ("first_pause", "boolean", pa.bool_()), ("start_ms", "bigint", pa.int64()), ("end_ms", "bigint", pa.int64()),
+           ("first_spk", "int", pa.int32()), ("known_spk", "int", pa.int32()), ("last_spk", "int", pa.int32()), ("known", "int", pa.int32()),
+           ("first_pause", "boolean", pa.bool_()), ("last_pause", "boolean", pa.bool_()), ("start_ms", "bigint", pa.int64()), ("end_ms", "bigint", pa.int64()),
            ("text", "string", pa.string()), ("head", "string", pa.string())]
 _SCHEMA = ", ".join(f"{n} {t}" for n, t, _ in _FIELDS)
 _ARROW = pa.schema([(n, t) for n, _, t in _FIELDS])
@@ -91,12 +92,18 @@ def _stretches(with_text: bool, pause_ms: int | None):
 
     def work(key, who, rows, emit):
         labels = labels_of(who)
-        state, out, last_end = None, [], None
+        state, out, split = None, [], False
+        last_end = rows[0][4] if rows[0][0] is None else None  # of the chunks before, see caption_chunks
+        first_pause = known_pause = False
+        known = None  # the first stretch whose speaker is known here
         for idx, role, text, start, end in rows:
+            if idx is None:
+                continue
             got = pieces(text, labels, words)
             if role is not None and (r := labels.get(role)) is not None:
                 state = r
-            split = bool(pause_ms is not None and start is not None and last_end is not None and start - last_end >= pause_ms)
+            if pause_ms is not None and start is not None and last_end is not None and start - last_end >= pause_ms:
+                split = True
             for speaker, found in got:
                 if speaker is not None:
                     state = speaker
@@ -108,6 +115,10 @@ def _stretches(with_text: bool, pause_ms: int | None):
                 else:
                     s = [state, idx, idx, len(found), start, None, []]
                     out.append(s)
+                    if len(out) == 1:
+                        first_pause = split
+                    if known is None and state is not None:
+                        known, known_pause = len(out) - 1, split
                 split = False
                 if end is not None:
                     s[5] = end if s[5] is None else max(s[5], end)
@@ -119,11 +130,11 @@ def _stretches(with_text: bool, pause_ms: int | None):
             text = head = None
             if with_text:
                 got, n_head = unrolled(s[6], words)
-                text, head = " ".join(got), "\n".join(" ".join(w) for w in s[6][:n_head]) if seq < 2 else None
-            emit((*key, False, seq, s[0], s[1], s[2], s[3], None, None, None, None, s[4], s[5], text, head))
+                text, head = " ".join(got), "\n".join(" ".join(w) for w in s[6][:n_head]) if seq in (0, known) else None
+            emit((*key, False, seq, s[0], s[1], s[2], s[3], None, None, None, None, None, None, s[4], s[5], text, head))
         n = len(out)
-        emit((*key, True, n, state, None, None, None, out[0][0] if n else None, out[1][0] if n > 1 else None,
-              out[-1][0] if n else None, None, rows[0][3], last_end, None, None))
+        emit((*key, True, n, state, None, None, None, out[0][0] if n else None, out[known][0] if known and not known_pause else None,
+              out[-1][0] if n else None, known, first_pause, split, None, None, None, None))
 
     return work
 
@@ -132,32 +143,31 @@ def speaker_turns(captions: DataFrame, speakers: DataFrame, *, with_text: bool =
     """Turns per tape: transcript_id, tape_no, turn_no, speaker_no, first_idx, last_idx,
     n_words, and with ``with_text`` also start_ms, end_ms and the joined text without rolling
     repeats. ``pause_ms`` also splits a turn where a pause is at least that long."""
-    chunks = caption_chunks(captions, speakers, chunk)
+    chunks = caption_chunks(captions, speakers, chunk, ends=pause_ms is not None)
     parts = materialize(map_chunks(chunks, _stretches(with_text, pause_ms), _SCHEMA, _ARROW), "turns")
     tape = Window.partitionBy("transcript_id", "tape_no").orderBy("chunk")
     past = tape.rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.where("summary").select(
-        *KEYS, F.col("seq").alias("n"), "first_spk", "second_spk", "last_spk", "start_ms", "end_ms",
+        *KEYS, F.col("seq").alias("n"), "first_spk", "known_spk", "last_spk", "known",
         F.coalesce(F.last("speaker", ignorenulls=True).over(past), F.lit(0)).alias("carry"),
+        "first_pause", F.max(F.when(F.col("last_pause"), F.col("chunk"))).over(past).alias("open_pause"),
+        F.max(F.when(F.col("seq") > 0, F.col("chunk"))).over(past).alias("spoken"),
     )
-    paused = F.lit(False)
-    if pause_ms is not None:
-        carried = carried.withColumn("prev_end", F.max("end_ms").over(past))
-        paused = F.coalesce(F.col("start_ms") - F.col("prev_end") >= pause_ms, F.lit(False))
+    carried = carried.withColumn("paused", F.col("first_pause") | F.coalesce(F.col("open_pause") >= F.col("spoken"), F.lit(False)))
     carried = carried.withColumn("tail_spk", F.when(F.col("n") > 0, F.coalesce("last_spk", "carry")))
     carried = carried.withColumn("prev_spk", F.last("tail_spk", ignorenulls=True).over(past))
     carried = carried.withColumn(
-        "joins", F.when((F.col("n") > 0) & (F.coalesce("first_spk", "carry") == F.col("prev_spk")) & ~paused, 1).otherwise(0)
+        "joins", F.when((F.col("n") > 0) & (F.coalesce("first_spk", "carry") == F.col("prev_spk")) & ~F.col("paused"), 1).otherwise(0)
     ).withColumn(
-        "joins2", F.when((F.col("n") > 1) & F.col("first_spk").isNull() & (F.col("second_spk") == F.col("carry")), 1).otherwise(0)
+        "joins2", F.when(F.col("known_spk") == F.col("carry"), 1).otherwise(0)
     )
     carried = carried.withColumn("before", F.coalesce(F.sum(F.col("n") - F.col("joins") - F.col("joins2")).over(past), F.lit(0)))
-    carried = carried.select(*[F.col(k).alias("k_" + k) for k in KEYS], "carry", "joins", "joins2", "before")
+    carried = carried.select(*[F.col(k).alias("k_" + k) for k in KEYS], "carry", "joins", "joins2", "before", F.col("known").alias("k_known"))
     same = [F.col(k).eqNullSafe(F.col("k_" + k)) for k in KEYS]
     numbered = parts.where("NOT summary").join(carried, same[0] & same[1] & same[2]).select(
         "transcript_id", "tape_no", "first_idx", "last_idx", "n_words", "chunk", "seq", "start_ms", "end_ms", "text", "head",
         F.coalesce("speaker", "carry").alias("speaker_no"),
-        (F.col("before") + F.col("seq") + 1 - F.col("joins") - F.when(F.col("seq") >= 1, F.col("joins2")).otherwise(0)).cast("int").alias("turn_no"),
+        (F.col("before") + F.col("seq") + 1 - F.col("joins") - F.when(F.col("seq") >= F.col("k_known"), F.col("joins2")).otherwise(0)).cast("int").alias("turn_no"),
     )
     aggs = [F.first("speaker_no").cast("int").alias("speaker_no"), F.min("first_idx").alias("first_idx"),
             F.max("last_idx").alias("last_idx"), F.sum("n_words").cast("int").alias("n_words")]

@@ -175,6 +175,60 @@ def test_turn_text_with_a_repeat_that_starts_before_the_chunk(spark):
         assert [r.text for r in turns.speaker_turns(cap, spk, with_text=True, chunk=chunk).collect()] == ["een twee drie vier vijf zes vijf zes zeven"]
 
 
+def paused_captions(seed, n=400):
+    """Captions with pauses, many without words, times null, swapped or far ahead."""
+    rng, at, rows = random.Random(seed), 0, []
+    for idx in range(n):
+        at += rng.choice([0, 0, 0, 50, 100, 700])
+        start, end = at, at + 100
+        at = end
+        if rng.random() < 0.05:
+            start, end = end, start
+        if rng.random() < 0.02:
+            end += 5000
+        text = rng.choice(["wij gingen", "naar huis", "naar de stad", "(coughs)", "[gelach]", "", None, "...", "INT: ja", "A: nee", "INT:"])
+        rows.append((1, 1 + (idx > 330), idx, rng.choice([None, None, None, "narrator"]), text, rng.choice([start, start, None]), rng.choice([end, end, None])))
+    return rows
+
+
+def brute_paused(rows, pause):
+    labels, words, out = Labels([(1, "Ann Bakker"), (2, "Bo Smid")]), WordTable(), []
+    for tape in (1, 2):
+        state, end, split, last, no = 0, None, False, None, 0
+        for r in (r for r in rows if r[1] == tape):
+            if r[5] is not None and end is not None and r[5] - end >= pause:
+                split = True
+            if r[3] and labels.get(r[3]):
+                state = labels.get(r[3])
+            for s, w in pieces(r[4], labels, words):
+                state = state if s is None else s
+                if w:
+                    if last is None or last[2] != state or split:
+                        no += 1
+                        last = [tape, no, state, r[2], r[2], 0]
+                        out.append(last)
+                    last[4], last[5], split = r[2], last[5] + len(w), False
+            end = max((x for x in (end, r[6]) if x is not None), default=None)
+    return [tuple(x) for x in out]
+
+
+@pytest.mark.parametrize("seed, chunk", [(5, 1), (5, 4), (5, 4096), (6, 2), (6, 7), (6, 50), (7, 3)])
+def test_pauses_equal_one_pass(spark, seed, chunk):
+    rows = paused_captions(seed)
+    cap, spk = frames(spark, rows + rows[:50], [(1, t, n, name) for t in (1, 2) for n, name in ((1, "Ann Bakker"), (2, "Bo Smid"))])
+    got = sorted((r.tape_no, r.turn_no, r.speaker_no, r.first_idx, r.last_idx, r.n_words) for r in turns.speaker_turns(cap, spk, pause_ms=600, chunk=chunk).collect())
+    assert got == brute_paused(rows, 600)
+
+
+def test_a_pause_before_a_caption_without_words_splits(spark):
+    for text in ("(coughs)", "[gelach]", None, ""):
+        rows = [(1, 1, 0, "INT", "wij gingen", 0, 1000), (1, 1, 1, None, text, 7000, 7500), (1, 1, 2, None, "naar huis", 7500, 8000)]
+        cap, spk = frames(spark, rows)
+        for chunk in (1, 2, 4096):
+            got = turns.speaker_turns(cap, spk, pause_ms=1684, chunk=chunk).orderBy("turn_no").collect()
+            assert [(r.first_idx, r.last_idx) for r in got] == [(0, 0), (2, 2)]
+
+
 def test_nulls_in_any_column(spark):
     rows = [(None, None, 0, "INT", "wie was daar", None, None), (None, None, 1, None, "Wie was daar?", 5, None), (1, None, 3, None, None, None, None), (1, 1, None, None, "zoek", 1, 2), (1, 1, 4, None, "Bakker: ja ja", 1, 2)]
     cap, spk = frames(spark, rows, [(None, None, 1, "Ann Bakker"), (1, 1, 2, "Bo Bakker"), (1, 1, None, "x"), (1, 1, 1, None)])
