@@ -37,13 +37,24 @@ _SCHEMA = ", ".join(f"{n} {t}" for n, t, _ in _FIELDS)
 _ARROW = pa.schema([(n, t) for n, _, t in _FIELDS])
 
 
-def overlap(tail: list[str], head: list[str], most: int = 40) -> int:
+def overlap(tail: list[str], head: list[str]) -> int:
     """Words of the longest suffix of ``tail`` that is a prefix of ``head`` and makes up a
-    rolling repeat: all of ``head``, or at least three words."""
-    for k in range(min(len(tail), len(head), most), 0, -1):
-        if (k >= 3 or k == len(head) and k > 1) and tail[-k:] == head[:k]:
-            return k
-    return 0
+    rolling repeat: all of ``head``, or at least three words. Linear time by the prefix function."""
+    tail = tail[-len(head):]
+    if not head or head[0] not in tail:
+        return 0
+    border, k = [0] * len(head), 0
+    for i in range(1, len(head)):
+        while k and head[i] != head[k]:
+            k = border[k - 1]
+        k += head[i] == head[k]
+        border[i] = k
+    k = 0
+    for w in tail:
+        while k and w != head[k]:
+            k = border[k - 1]
+        k += w == head[k]
+    return k if k >= 3 or k == len(head) and k > 1 else 0
 
 
 def unrolled(said: list[list[str]], words: WordTable) -> tuple[list[str], int]:

@@ -168,6 +168,24 @@ def test_turn_texts_equal_one_pass(spark, chunk):
     assert [(r.speaker_no, r.text) for r in got] == brute_texts(rows)
 
 
+def test_overlap_equals_comparing_every_length():
+    rng = random.Random(8)
+    for _ in range(3000):
+        tail, head = ([rng.choice("ab" if rng.random() < 0.7 else "abc") for _ in range(rng.randrange(n))] for n in (12, 9))
+        fits = [k for k in range(1, min(len(tail), len(head)) + 1) if tail[-k:] == head[:k] and (k >= 3 or k == len(head) and k > 1)]
+        assert turns.overlap(tail, head) == max(fits, default=0)
+
+
+def test_a_long_caption_delivered_again_is_dropped(spark):
+    said = " ".join(f"woord{i}" for i in range(100))
+    rows = [(1, 1, 0, "INT", "toen " + said, 0, 1), (1, 1, 1, None, said, 1, 2), (1, 1, 2, None, said + " klaar", 2, 3)]
+    cap, spk = frames(spark, rows)
+    for chunk in (1, 4096):
+        assert [r.text for r in turns.speaker_turns(cap, spk, with_text=True, chunk=chunk).collect()] == [f"toen {said} klaar"]
+    long = ["ja"] * 100_000
+    assert turns.overlap(long, long[1:] + ["nee"]) == 99_999 and turns.overlap(long, long) == 100_000
+
+
 def test_turn_text_with_a_repeat_that_starts_before_the_chunk(spark):
     rows = [(1, 1, 3, "INT", "een twee drie vier", 0, 1), (1, 1, 4, None, "vijf", 1, 2), (1, 1, 5, None, "drie vier vijf zes", 2, 3), (1, 1, 6, None, "vijf zes zeven", 3, 4)]
     cap, spk = frames(spark, rows)
