@@ -47,19 +47,26 @@ _SP = r"\s{1,2}"
 _WORD = rf"[{_U}](?:{_L}|[̀-ͯ'’])*"
 _MASK = "￼"
 
-_AT = r"(?:\s{0,2}(?:[\[({<]\s?(?:@|at|a|apenstaart(?:je)?|ät)\s?[\])}>]|@)\s{0,2}|\s{1,2}(?:apenstaart(?:je)?|klammeraffe)\s{1,2})"
+_AT_SIGN = r"[\[({<]\s?(?:@|at|a|apenstaart(?:je)?|ät)\s?[\])}>]"
+_AT_NAME = r"(?:apenstaart(?:je)?|klammeraffe)"
+_DOT_NAME = r"(?:dot|punt|punkt)"
+_AT = rf"(?:\s{{0,2}}(?:{_AT_SIGN}|@)\s{{0,2}}|\s{{1,2}}{_AT_NAME}\s{{1,2}})"
 _DOT = r"(?:\.|\s{0,2}[\[({<]\s?(?:\.|dot|punt|punkt)\s?[\])}>]\s{0,2}|\s{1,2}(?:dot|punt|punkt)\s{1,2})"
 _EMAIL = re.compile(rf"(?<![\w.+%-])[\w.+%-]*\w{_AT}\w[\w-]*(?:{_DOT}\w[\w-]*)*?{_DOT}[^\W\d_]{{2,}}(?![\w-]|{_DOT}\w)", re.I)
-_EMAIL_AT_WORD = re.compile(rf"(?<![\w.+%-])[\w.+%-]*\w\s{{1,2}}at\s{{1,2}}\w[\w-]*(?:\s{{1,2}}(?:dot|punt|punkt)\s{{1,2}}\w[\w-]*)+(?!\w)", re.I)
-_EMAIL_SIGNS = ("@", "apenstaart", "APENSTAART", "(at)", "[at]", "{at}", "<at>", "(AT)", "[AT]", "(a)", " punt ", " dot ", " punkt ", "klammeraffe", "(ät)", "( at )", "[ at ]")
+_EMAIL_AT_WORD = re.compile(rf"(?<![\w.+%-])[\w.+%-]*\w\s{{1,2}}at\s{{1,2}}\w[\w-]*(?:\s{{1,2}}{_DOT_NAME}\s{{1,2}}\w[\w-]*)+(?!\w)", re.I)
+#: What every address holds beside a plain "@"; texts with neither are not searched.
+_EMAIL_SIGN = re.compile(_AT_SIGN, re.I)
+_EMAIL_WORD = re.compile(rf"\s(?:{_AT_NAME}\s|at\s{{1,2}}\w[\w-]*\s{{1,2}}{_DOT_NAME}\s)", re.I)
 
+#: Part of the one identity form whose digits are no run of five or more.
+_LETTERED = r"\d{2}[A-Z]\d{4}"
 _IDENTITY = re.compile(
     rf"(?<![\w.,/+-])(?:"
     rf"(?P<ssn>\d{{3}}-\d{{2}}-\d{{4}})"
     rf"|(?P<bsn>\d{{9}}|\d{{3}}{_SP}\d{{3}}{_SP}\d{{3}}|\d{{4}}\.\d{{2}}\.\d{{3}}|\d{{4}}-\d{{5}}|\d{{3}}\.\d{{3}}\.\d{{3}})"
     rf"|(?P<card>[A-Z]\s?\d{{2}}(?:\s?/\s?|{_SP}n[or]\.?\s?)\d{{6}})"
     rf"|(?P<nino>[A-Z]{{2}}\s{{0,2}}\d{{2}}\s{{0,2}}\d{{2}}\s{{0,2}}\d{{2}}\s{{0,2}}[A-D])"
-    rf"|(?P<pass>[A-Z]{{2}}\s{{0,2}}\d{{3}}\s{{0,2}}\d{{4}}|[A-Z]\d{{8}}|[A-Z]\d{{4}}-?\d{{3}}[A-Z]|[A-Z]{{2}}\d{{2}}[A-Z]\d{{4}})"
+    rf"|(?P<pass>[A-Z]{{2}}\s{{0,2}}\d{{3}}\s{{0,2}}\d{{4}}|[A-Z]\d{{8}}|[A-Z]\d{{4}}-?\d{{3}}[A-Z]|[A-Z]{{2}}{_LETTERED})"
     rf")(?![\w]|[-/.]\d)".replace(r"\d", "[0-9]")
 )
 _NO_IDENTITY = re.compile(r"(?:inventar\w*|inventory\s+no\.?|inv\.?\s*(?:nr|no)\.?|isbn|issn|nummer\s+band|kaart|bestel\w*|rekening\w*|factuur\w*|signatu\w*|catalog\w*|toegang\w*)\s*:?\s*$", re.I)
@@ -87,8 +94,10 @@ _NL_SUFFIX = ("straat", "weg", "laan", "kade", "gracht", "plein", "dijk", "hof",
               "straße", "strasse", "str.", "gasse", "allee", "Allee", "platz", "ufer", "ring", "damm", "park", "Straße", "Weg", "Gasse", "Platz")
 _EN_SUFFIX = "Road|Street|Lane|Avenue|Close|Drive|Court|Terrace|Crescent|Place|Square|Gardens|Grove|Way|Row|Hill|Mews|Rd\\.?|St\\.?|Ave\\.?|Ln\\.?"
 _NUMBER = re.compile(r"(?:\s{1,2}|^)([0-9]{1,4})(?![\d:%]|[.,][0-9])")
-#: Digits with their signs; identity and phone numbers are searched around runs of five or more.
+#: Digits with their signs; identity and phone numbers are searched around runs of five or more
+#: and around digits with a letter between them.
 _RUN = re.compile(r"[0-9](?:[0-9\s().\-/]*[0-9])?")
+_LETTERED_RUN = re.compile(_LETTERED.replace(r"\d", "[0-9]"))
 _HOUSE = re.compile(rf"\d{{1,4}}(?:{_SP}bis\b|\s?[a-zA-Z](?![\w'’])(?!\.\s?[A-Z]\.)|-(?:[IVX]{{1,4}}|\d{{1,3}}|[a-z])(?!\w)|/\d{{1,3}}(?!\w))?")
 _STREET_HEAD = re.compile(
     rf"(?:(?:Oude|Korte|Nieuwe|Lange|Kleine|Grote|Eerste|Tweede|Alte|Neue|Kurze|Große|Am|An{_SP}der|An{_SP}den|Auf{_SP}dem|Im|Zum|Zur|Van|De|Het){_SP})?"
@@ -155,7 +164,7 @@ class Finder:
         """(start, end, kind) of all finds, in order."""
         found: list[tuple[int, int, str]] = []
         work = text
-        if any(s in text for s in _EMAIL_SIGNS):
+        if "@" in text or _EMAIL_SIGN.search(text) or _EMAIL_WORD.search(text):
             for pattern in (_EMAIL, _EMAIL_AT_WORD):
                 work = self._take(work, pattern.finditer(work), "email", found)
         if runs := [m.span() for m in _RUN.finditer(work)]:
@@ -185,8 +194,11 @@ class Finder:
         return self._mask(text, spans)
 
     def _numbers(self, text: str, runs: list[tuple[int, int]], found: list) -> str:
-        """Adds identity numbers, then phones, around runs of five or more digits; returns the masked text."""
+        """Adds identity numbers, then phones, around runs of five or more digits or with a
+        letter; returns the masked text."""
         long = [(s, e) for s, e in runs if e - s >= 5 and sum(map(str.isdigit, text[s:e])) >= 5]
+        if lettered := [m.span() for m in _LETTERED_RUN.finditer(text)]:
+            long = sorted(long + lettered)
         if not long:
             return text
         for kind in ("identity", "phone"):

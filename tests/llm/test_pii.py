@@ -40,6 +40,14 @@ def test_spans(text):
     assert marked(plain) == text
 
 
+@pytest.mark.parametrize("text", [
+    "pas <i:AB12C3456> x", "nummer <i:XY98Z7654>", "bestelnummer AB12C3456", "AB12C34567 en AB12c3456",
+    "<e:jan[a]mail.example> x", "<e:jan (At) mail.example> x", "<e:jan Apenstaartje mail.example> x", "<e:jan\tKlammeraffe\nmail.example> x", "<e:jan {\xa0at }mail.example> x",
+    "<e:jan at mail punt\nexample> x", "<e:Jan At mail Dot example> x", "<e:jan at\xa0mail\tpunkt example> x", "He was at home.", "Zie [a] en (b), punt uit."])
+def test_gates_let_through_all_that_the_patterns_match(text):
+    test_spans(text)
+
+
 def test_positions_count_characters(spark):
     text = "😀é bel 06-04439008 😀 Truus"
     df = spark.createDataFrame([(7, text, 1), (8, text, 2), (9, None, 3), (10, "", 4)], "doc_id long, text string, start_pos int")
