@@ -4,9 +4,9 @@ Method: an ordered map of disjoint intervals per entity is kept as keyed state;
 locates the intervals it overlaps by binary search, merges them and so updates the gaps. The
 same map serves batches here and streams in talespan.streaming.intervals.
 
-Scale: the key of the batch is (entity, time block). Within a block, equal starts are first
-reduced to their latest end, so a block holds at most as many intervals as it has milliseconds,
-however many rows an entity has. Blocks are stitched by windows over one row per block, so an
+Scale: the key of the batch is (entity, time block). Equal starts are first reduced to their
+latest end, in every map task and then by start, so only distinct starts reach a block's task. It
+holds at most as many intervals as it has milliseconds, however many rows an entity has. Blocks are stitched by windows over one row per block, so an
 interval may reach over any number of blocks and no task holds a whole entity.
 
 Cases: null or NaN times and intervals that do not end after they start are left out; adjoining
@@ -57,8 +57,7 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start_ms", end
     spark = df.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rows = df.select(*keys, F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e"), F.floor(F.col(start) / F.lit(block_ms)).cast("bigint").alias("block"))
-    reduced = (rows.repartition(shuffle_partitions(spark), *keys, "block")
-               .groupBy(*keys, "block", "s").agg(F.max("e").alias("e")))
+    reduced = rows.groupBy(*keys, "block", "s").agg(F.max("e").alias("e")).repartition(shuffle_partitions(spark), *keys, "block")
 
     n_keys = len(keys)
 

@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from talespan.functions.uris import uri_key
-from talespan.operators import hierarchy as tree
+from talespan.operators import hierarchy as tree, intervals
 from talespan.operators.intervals import IntervalMap, merge_intervals, segment_periods
 from talespan.streaming.intervals import stream_periods
 
@@ -113,6 +113,17 @@ def test_interval_map(rows):
     assert held.gaps() == [(a[1], b[0]) for a, b in zip(want, want[1:])]
 
 
+def test_equal_starts_are_reduced_before_the_shuffle(spark, monkeypatch):
+    plans = []
+    real = intervals.materialize
+    monkeypatch.setattr(intervals, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or real(df, name))
+    df = spark.range(20_000).selectExpr("1 AS k", "id % 3 * 100 AS start_ms", "id % 3 * 100 + id % 50 + 1 AS end_ms")
+    got = sorted(tuple(r) for r in merge_intervals(df, ["k"]).collect())
+    assert got == [(1, "gap", 50, 100), (1, "gap", 150, 200), (1, "period", 0, 50), (1, "period", 100, 150), (1, "period", 200, 250)]
+    below = plans[0].partition("Exchange")[2]
+    assert "HashAggregate" in below and "partial_max" in below
+
+
 @pytest.mark.parametrize("block", [7, 50, 10_000])
 def test_merge_intervals_over_blocks(spark, block):
     rng = random.Random(block)
