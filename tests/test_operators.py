@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from talespan.backends.chat import RateLimited, Retrying, RuleBackend, backend_for
 from talespan.functions import text as tx
 from talespan.functions.tokens import CharacterCounter, RankCounter
-from talespan.operators import batching, matching as m, segmentation as seg, segments as sg
+from talespan.operators import batching, matching as m, segmentation as seg, segments as sg, topdown
 from talespan.operators.scan import running_sum
 from talespan.operators.topdown import match_topdown
 
@@ -179,6 +179,42 @@ def test_topdown_walk(spark):
     assert match_topdown(s, con, con.where("false"), RuleBackend(), ["s"], CharacterCounter(), 1000).count() == 0
 
 
+def _chain(spark, n):
+    """n concepts, each narrower than the one before, after five top concepts of which the first leads on."""
+    rows = [(i, f"c{i}", f"Naam{i} wereldoorlog", "d", [f"c{i + 1}"], False) for i in range(n)] + [(1000 + i, f"t{i}", f"Top{i} wereldoorlog", "d", ["c0"] if i == 0 else [], True) for i in range(5)]
+    con = spark.createDataFrame(rows, "concept_idx int, uri string, name string, description string, narrower array<string>, top boolean")
+    return con, spark.createDataFrame([(1, "over wereldoorlog"), (2, "niets")], "s int, text string")
+
+
+def test_topdown_with_many_top_concepts_and_levels(spark, monkeypatch):
+    con, s = _chain(spark, 5)
+    monkeypatch.setattr(topdown, "MOST_TOP_CONCEPTS", 4)
+    monkeypatch.setattr(topdown, "LEVELS_A_TABLE", 2, raising=False)
+    got = match_topdown(s, con, con.where("top"), RuleBackend(keep=0), ["s"], CharacterCounter(), 30).collect()
+    assert [(r.s, r.match_idx, r.uri) for r in sorted(got)] == [(1, i, f"c{i}") for i in range(5)]
+
+
+def test_topdown_walks_until_no_concept_is_left(spark, monkeypatch):
+    class Level:
+        left = 1200
+
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+        def isEmpty(self):
+            return Level.left == 0
+
+    def level(*a):
+        Level.left -= 1
+        return Level()
+
+    monkeypatch.setattr(topdown, "_top_level", lambda *a: Level())
+    monkeypatch.setattr(topdown, "_level", level)
+    monkeypatch.setattr(topdown, "materialize", lambda df, name: df)
+    match_topdown(Level(), Level(), Level(), RuleBackend(), ["s"], CharacterCounter())
+    assert Level.left == 0
+
+
 def test_counters():
     assert CharacterCounter().count(["abcdefgh", ""]) == [2, 0]
     assert RankCounter().count(["hello world", ""]) == [2, 0]
