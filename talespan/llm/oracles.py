@@ -29,13 +29,14 @@ v AS (SELECT DISTINCT transcript_id, segment_idx, trim(piece, chr(9) || ' "''“
 f AS (SELECT *, {_SQUEEZE.format('value')} AS form FROM v),
 u AS (SELECT DISTINCT form FROM f WHERE form <> ''),
 d AS (SELECT u.form, r.uri, damerau_levenshtein(u.form, r.form) AS dist FROM u JOIN r ON abs(length(u.form) - length(r.form)) <= 2),
-b AS (SELECT form, uri FROM d WHERE dist <= 2 QUALIFY dist = min(dist) OVER (PARTITION BY form)),
-o AS (SELECT f.transcript_id, f.segment_idx, f.value, coalesce(b.uri, 'unmatched') AS uri FROM f LEFT JOIN b USING (form) WHERE f.form <> '')
+b AS (SELECT form, uri FROM d WHERE dist <= CASE WHEN length(form) <= 3 THEN 0 WHEN length(form) <= 5 THEN 1 ELSE 2 END QUALIFY dist = min(dist) OVER (PARTITION BY form)),
+o AS (SELECT f.transcript_id, f.segment_idx, f.value, CASE WHEN f.form = '' THEN 'no name' ELSE coalesce(b.uri, 'unmatched') END AS uri FROM f LEFT JOIN b USING (form)
+      WHERE regexp_matches(f.value, '[\\p{{L}}\\p{{N}}]'))
 """
 
 ORACLES = {
-    "p1_found": _P1 + "SELECT DISTINCT transcript_id, segment_idx, uri FROM o",
-    "p1_unmatched": _P1 + "SELECT lower(value) AS value, count(DISTINCT (transcript_id, segment_idx)) AS n_segments FROM o WHERE uri = 'unmatched' GROUP BY 1",
+    "p1_found": _P1 + "SELECT DISTINCT transcript_id, segment_idx, uri FROM o WHERE uri <> 'no name'",
+    "p1_unmatched": _P1 + "SELECT lower(value) AS value, uri AS kind, count(DISTINCT (transcript_id, segment_idx)) AS n_segments FROM o WHERE uri IN ('unmatched', 'no name') GROUP BY ALL",
     "p2_merged": _P2 + """,
 g AS (SELECT transcript_id, segment_idx, concept, count(*) AS n_records,
        arg_min(struct_pack(id := match_id, i := match_idx, s := source, at := scored_at), pref - 1000000 * (s_ok + e_ok + t_ok)) AS best,

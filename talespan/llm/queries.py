@@ -8,19 +8,21 @@ from talespan.llm import canonical, packing, pii, runs, survivor, tokens, turns
 from talespan.runtime import table
 
 
+def _mapped(spark: SparkSession, d: str) -> DataFrame:
+    keywords = table(spark, d, "segments").where("seg_type = 'keyword'")
+    return canonical.map_values(keywords, ["transcript_id", "segment_idx"], "text", table(spark, d, "ref_concepts"))
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Distinct reference uris meant by the values of each keyword segment."""
-    keywords = table(spark, d, "segments").where("seg_type = 'keyword'")
-    found = canonical.map_values(keywords, ["transcript_id", "segment_idx"], "text", table(spark, d, "ref_concepts"))
-    return found.select("transcript_id", "segment_idx", "uri").distinct()
+    return _mapped(spark, d).where(F.col("uri") != canonical.NO_NAME).select("transcript_id", "segment_idx", "uri").distinct()
 
 
 def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
-    """Report of values without an entry: value and number of segments that hold it."""
-    keywords = table(spark, d, "segments").where("seg_type = 'keyword'")
-    found = canonical.map_values(keywords, ["transcript_id", "segment_idx"], "text", table(spark, d, "ref_concepts"))
-    lone = found.where(F.col("uri") == canonical.UNMATCHED).select("transcript_id", "segment_idx", F.lower("value").alias("value")).distinct()
-    return lone.groupBy("value").agg(F.count("*").alias("n_segments"))
+    """Report of values without an entry ('unmatched') and of those that only hold general words
+    or numbers ('no name'): value, kind and number of segments that hold it."""
+    lone = _mapped(spark, d).where(F.col("distance") < 0).select("transcript_id", "segment_idx", F.lower("value").alias("value"), F.col("uri").alias("kind")).distinct()
+    return lone.groupBy("value", "kind").agg(F.count("*").alias("n_segments"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
