@@ -1,18 +1,19 @@
 """Problem 3: parent-child links to full hierarchies.
 
 Method: tree contraction. Rounds alternate raking (a leaf with one parent is folded into it) and
-compressing (a node with one parent and one child is spliced out; of neighbouring candidates the
-one with the larger hash goes). Every removal is recorded. What neither step can remove is the
-core: roots, nodes with several parents, what leads to them, and cycles, which never terminate
-and so are exposed there. The core is solved, then the records are reversed round by round to
-recover root, depth, path, descendants and cycle membership of all nodes.
-
-Scale: a round is a few hash joins and aggregations on the remaining edges, which shrink
-geometrically, so a chain of any length takes logarithmically many rounds; each is written as a
-stage table. Once at most ``local_edges`` edges are left (a documented bound; the default is a few
-MB) the same contraction is finished in one task. A core beyond that bound is closed by
-distributed doubling. Hot parents are pre-aggregated when raked; joins back to them are split by
-adaptive skew handling.
+compressing (a node with one parent and one child is spliced out where a fresh hash of its id
+exceeds those of both). Every removal is recorded. What neither step can remove is the core:
+roots, nodes with several parents, what leads to them, and cycles, which never terminate and so
+are exposed there. The core is solved, then the records are reversed round by round to recover
+root, depth, path, descendants and cycle membership of all nodes.
+
+Scale: no step changes how many parents a node has, so a node with one parent carries its link in
+its own row. A round counts children by parent with map-side combine, joins the counts to the rows
+and tells the children of spliced nodes their new parent; it is written as one stage table.
+Rows shrink geometrically, so a chain of any length takes logarithmically many rounds. Once at most
+``local_edges`` edges are left (a documented bound; the default is a few MB) the same contraction is
+finished in one task. A core beyond that bound is closed by distributed doubling. Paths are carried
+only where they are asked for.
 
 Cases: null, blank and unknown link targets are no links; repeated rows and links count once;
 a node that lists itself is in a cycle and no root; null ids are dropped; of several roots or
@@ -26,14 +27,14 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from talespan.functions.uris import uri_key
 from talespan.runtime import materialize, release
 
 #: Remaining edges that one task finishes.
 LOCAL_EDGES = 20_000
-_EDGE = "p int, c int, w int, inner bigint, hidden array<int>"
 _STATE = "id int, root int, depth int, path array<int>, total bigint, cycle int, scc int"
 
 
@@ -41,7 +42,7 @@ def concept_edges(concepts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes: id; edges: p, c) of concept rows with concept_idx, uri and narrower."""
     rows = concepts.where("concept_idx IS NOT NULL").select(F.col("concept_idx").cast("int").alias("id"), uri_key(F.col("uri")).alias("key"), "narrower")
     nodes = rows.groupBy("id").agg(F.min("key").alias("key"))
-    links = rows.select("id", F.explode("narrower").alias("n")).select(F.col("id").alias("p"), uri_key(F.col("n")).alias("key")).where("key IS NOT NULL").distinct()
+    links = rows.select("id", F.explode("narrower").alias("n")).select(F.col("id").alias("p"), uri_key(F.col("n")).alias("key")).where("key IS NOT NULL")
     named = nodes.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("c"))
     return nodes.select("id"), links.join(named, "key").select("p", "c").distinct()
 
@@ -49,11 +50,12 @@ def concept_edges(concepts: DataFrame) -> tuple[DataFrame, DataFrame]:
 # --- the core and small remainders, in one task -------------------------------------------
 
 
-def solve_local(edges: list[tuple[int, int, int, int, list[int]]], raked: dict[int, int]) -> list[tuple]:
+def solve_local(edges: list[tuple[int, int, int, int, list[int]]], raked: dict[int, int], paths: bool = True) -> list[tuple]:
     """Contracts a small graph, solves its core and reverses the contraction.
 
     ``edges``: (parent, child, length, nodes hidden inside with what they raked, path of the
-    hidden nodes); ``raked``: nodes already folded into a node. Returns _STATE tuples.
+    hidden nodes); ``raked``: nodes already folded into a node. Returns _STATE tuples, whose
+    paths are empty without ``paths``.
     """
     raked = defaultdict(int, raked)
     out_of: dict[int, dict[int, tuple]] = defaultdict(dict)  # node -> edge number -> edge
@@ -90,16 +92,16 @@ def solve_local(edges: list[tuple[int, int, int, int, list[int]]], raked: dict[i
             (k2, e2), = out_of[v].items()
             drop(k, e)
             drop(k2, e2)
-            add((p, e2[1], e[2] + e2[2], e[3] + 1 + raked[v] + e2[3], [*e[4], v, *e2[4]]))
+            add((p, e2[1], e[2] + e2[2], e[3] + 1 + raked[v] + e2[3], [*e[4], v, *e2[4]] if paths else []))
             records.append(("compress", v, p, e[2], e[4], e2[1], e2[3], raked[v]))
             queue.append(e2[1])
         gone.add(v)
         queue.append(p)
-    state = _solve_core([v for v in nodes if v not in gone], out_of, into, raked)
+    state = _solve_core([v for v in nodes if v not in gone], out_of, into, raked, paths)
     for kind, v, p, w, hidden, c, inner, own in reversed(records):
         _, root, depth, path, _, _, scc = state[p]
         depth = depth + w if depth >= 0 else -1
-        path = [*path, *hidden, v] if depth >= 0 else []
+        path = [*path, *hidden, v] if paths and depth >= 0 else []
         if kind == "rake":
             state[v] = (v, root, depth, path, own, 0, v)
         elif state[p][6] == state[c][6] and state[p][5]:
@@ -109,19 +111,19 @@ def solve_local(edges: list[tuple[int, int, int, int, list[int]]], raked: dict[i
     return list(state.values())
 
 
-def _solve_core(nodes: list[int], out_of, into, raked) -> dict[int, tuple]:
+def _solve_core(nodes: list[int], out_of, into, raked, paths: bool = True) -> dict[int, tuple]:
     """Shortest root paths, components and reachable counts of what contraction leaves."""
     best: dict[int, tuple] = {}
-    heap = [(0, v, v, (v,), v) for v in nodes if not into[v]]
+    heap = [(0, v, v, (v,) if paths else ()) for v in nodes if not into[v]]
     heapq.heapify(heap)
     while heap:
-        d, root, v, path, _ = heapq.heappop(heap)
+        d, root, v, path = heapq.heappop(heap)
         if v in best:
             continue
         best[v] = (root, d, list(path))
         for _, c, w, _, hidden in out_of[v].values():
             if c not in best:
-                heapq.heappush(heap, (d + w, root, c, (*path, *hidden, c), c))
+                heapq.heappush(heap, (d + w, root, c, (*path, *hidden, c) if paths else ()))
     scc = _components(nodes, out_of)
     members = defaultdict(list)
     for v in nodes:
@@ -223,71 +225,171 @@ def _topological(nodes, out_of, scc, members) -> list[int]:
     return order
 
 
+def local_ancestors(edges: list[tuple[int, int, list[int]]]):
+    """(node, all that lead to it) of a small graph whose edges (parent, child, hidden nodes) hide
+    nodes; a node on a cycle is among its own ancestors. Gives one node at a time."""
+    out_of: dict[int, dict[int, tuple]] = defaultdict(dict)
+    for k, e in enumerate(edges):
+        out_of[e[0]][k] = e
+    nodes = sorted({e[0] for e in edges} | {e[1] for e in edges})
+    scc = _components(nodes, out_of)
+    members = defaultdict(list)
+    for v in nodes:
+        members[scc[v]].append(v)
+    spot = {v: i for i, v in enumerate(nodes)}
+    names: list[list[int]] = [[v] for v in nodes]
+    into: dict[int, list[tuple[int, int]]] = defaultdict(list)  # component -> (parent, bits of parent and hidden nodes)
+    inside: dict[int, int] = defaultdict(int)
+    for a, c, hidden in edges:
+        bits = 1 << spot[a]
+        if len(hidden):
+            bits |= 1 << len(names)
+            names.append([int(x) for x in hidden])
+        if scc[a] == scc[c]:
+            inside[scc[a]] |= bits
+        else:
+            into[scc[c]].append((a, bits))
+    above: dict[int, int] = {}
+    size = -(-len(names) // 8) or 1
+    for comp in reversed(_topological(nodes, out_of, scc, members)):
+        bits = inside[comp]
+        for a, own in into[comp]:
+            bits |= above[scc[a]] | own
+        above[comp] = bits
+        on = np.flatnonzero(np.unpackbits(np.frombuffer(bits.to_bytes(size, "little"), np.uint8), bitorder="little"))
+        led = [x for i in on.tolist() for x in names[i]]
+        for v in members[comp]:
+            yield v, led
+
+
 # --- distributed rounds --------------------------------------------------------------------
 
+_KEEP, _RAKE, _SPLICE = 0, 1, 2
+
+
+def _hidden(paths: bool, column: Column) -> list[Column]:
+    return [column.alias("hidden")] if paths else []
+
+
+def _write(rows: DataFrame, name: str) -> tuple[DataFrame, dict[str, int]]:
+    """The rows as a stage table, and how many edges, rakes, splices and candidates they hold;
+    counted while they are written."""
+    seen = Observation()
+    one = lambda test: F.coalesce(F.sum(F.when(F.expr(test), 1).otherwise(0)), F.lit(0))
+    table = materialize(rows.observe(seen, one(f"kind = {_KEEP} AND p IS NOT NULL").alias("edges"), one(f"kind = {_KEEP} AND NOT node").alias("shared"),
+                                     one(f"kind = {_RAKE}").alias("rakes"), one(f"kind = {_SPLICE}").alias("splices"), one("chain").alias("chains")), name)
+    return table, seen.get
+
+
+def _first(nodes: DataFrame, edges: DataFrame, paths: bool) -> tuple[DataFrame, dict[str, int]]:
+    """The rows that the rounds work on: one per node, with its link if it has one parent, and
+    one per edge into a node with several parents."""
+    edges = materialize(edges.select("p", "c"), "hier-edges")
+    parents = edges.groupBy(F.col("c").alias("e_c")).agg(F.count("*").alias("n"), F.max("p").alias("e_p"))
+    empty = F.array().cast("array<int>")
+    rest = [F.lit(1).alias("w"), F.lit(0).cast("bigint").alias("inner"), F.lit(0).cast("bigint").alias("raked"), F.lit(None).cast("int").alias("c"),
+            F.lit(0).cast("bigint").alias("inner2"), F.lit(False).alias("chain"), F.lit(0).alias("k"), *_hidden(paths, empty)]
+    own = nodes.join(parents, F.col("id") == F.col("e_c"), "left").select(
+        F.lit(_KEEP).alias("kind"), F.lit(True).alias("node"), F.coalesce(F.col("n") > 1, F.lit(False)).alias("multi"), F.col("id").alias("v"), F.when(F.col("n") == 1, F.col("e_p")).alias("p"), *rest)
+    shared = edges.join(parents.where("n > 1").select("e_c"), F.col("c") == F.col("e_c")).select(
+        F.lit(_KEEP).alias("kind"), F.lit(False).alias("node"), F.lit(True).alias("multi"), F.col("c").alias("v"), "p", *rest)
+    return _write(own.unionByName(shared), "hier-start")
+
+
+def _round(rows: DataFrame, shared: bool, paths: bool, k: int) -> tuple[DataFrame, dict[str, int]]:
+    """One rake and one compress step over the rows of the round before. ``shared``: whether
+    edges into nodes with several parents are left."""
+    kept = rows.where(F.col("kind") == _KEEP)
+    # Children by parent; what was raked last round comes along as mail.
+    child = lambda c: F.when(F.col("kind") == _KEEP, c)
+    below = rows.where(f"kind <> {_SPLICE} AND p IS NOT NULL").select(
+        F.col("p").alias("b_p"), child(F.lit(1)).otherwise(0).alias("o"), child(F.col("v")).alias("b_c"), child(F.col("inner")).alias("b_i"), child(F.col("multi")).alias("b_m"),
+        F.when(F.col("kind") == _RAKE, F.col("raked") + F.col("inner") + 1).otherwise(0).alias("mail"),
+    ).groupBy("b_p").agg(F.sum("o").alias("o"), F.max("b_c").alias("b_c"), F.max("b_i").alias("b_i"), F.max("b_m").alias("b_m"), F.sum("mail").alias("mail"))
+    hash_ = lambda x: F.xxhash64(F.col(x), F.col("k"))
+    held = F.col("p").isNotNull() & (F.col("p") != F.col("v"))
+    hidden = ["hidden"] if paths else []
+    x = kept.where("node").drop("c", "inner2", "chain").join(below.hint("shuffle_hash"), F.col("v") == F.col("b_p"), "left").select(
+        "multi", "v", "p", "w", "inner", "k", (F.col("raked") + F.coalesce("mail", F.lit(0))).alias("raked"), F.col("b_c").alias("c"), F.col("b_i").alias("inner2"), "b_m",
+        (held & (F.coalesce("o", F.lit(0)) == 0)).alias("leaf"), (held & (F.coalesce("o", F.lit(0)) == 1)).alias("chain"), *hidden)
+    x = x.withColumn("out", F.coalesce(F.col("chain") & (hash_("v") > hash_("p")) & (hash_("v") > hash_("c")), F.lit(False)))
+    spliced = x.where("out").select(F.col("c").alias("s_c"), "b_m", F.col("v").alias("s_v"), F.col("p").alias("s_p"), F.col("w").alias("s_w"),
+                                    (F.col("inner") + 1 + F.col("raked")).alias("s_i"), *([F.col("hidden").alias("s_h")] if paths else []))
+    told = F.col("s_v").isNotNull()
+    moved = [F.coalesce("s_p", "p").alias("p"), (F.col("w") + F.coalesce("s_w", F.lit(0))).alias("w"), (F.col("inner") + F.coalesce("s_i", F.lit(0))).alias("inner")]
+    longer = _hidden(paths, F.when(told, F.concat("s_h", F.array("s_v"), "hidden")).otherwise(F.col("hidden")) if paths else F.lit(0))
+    # The parent of a leaf may be spliced out in the same round; such a leaf stays for the next.
+    new = x.join(spliced.where("NOT b_m").hint("shuffle_hash"), F.col("v") == F.col("s_c"), "left").select(
+        F.when(F.col("out"), _SPLICE).when(F.col("leaf") & ~told, _RAKE).otherwise(_KEEP).alias("kind"), F.lit(True).alias("node"), "multi", "v", *moved, "raked", "c", "inner2",
+        "chain", (F.col("k") + 1).alias("k"), *longer)
+    if shared:
+        new = new.unionByName(kept.where("NOT node").drop("c", "inner2", "chain").join(spliced.where("b_m").hint("shuffle_hash"), F.col("p") == F.col("s_v"), "left").select(
+            "kind", "node", "multi", "v", *moved, "raked", F.lit(None).cast("int").alias("c"), F.lit(0).cast("bigint").alias("inner2"), F.lit(False).alias("chain"), (F.col("k") + 1).alias("k"), *longer))
+    return _write(new, f"hier-round-{k}")
+
+
+def contract(nodes: DataFrame, edges: DataFrame, local_edges: int, paths: bool):
+    """Rake and compress until at most ``local_edges`` edges or only the core is left:
+    ([(records, number of splices) per round], remaining edges, remaining nodes with what they
+    raked and whether they are roots, number of remaining edges)."""
+    rows, seen = _first(nodes, edges, paths)
+    records, k = [], 0
+    while seen["edges"] > local_edges:
+        before = rows
+        rows, seen = _round(before, seen["shared"] > 0, paths, k)
+        if not k:
+            release(before)  # holds no records
+        if seen["rakes"] or seen["splices"]:
+            records.append((rows.where(F.col("kind") != _KEEP), seen["splices"]))
+        elif not seen["chains"]:
+            break
+        k += 1
+    kept = rows.where(F.col("kind") == _KEEP)
+    mail = rows.where(F.col("kind") == _RAKE).groupBy(F.col("p").alias("m_p")).agg(F.sum(F.col("raked") + F.col("inner") + 1).alias("mail"))
+    left = kept.where("p IS NOT NULL").select("p", F.col("v").alias("c"), "w", "inner", F.col("hidden") if paths else F.array().cast("array<int>").alias("hidden"))
+    own = kept.where("node").join(mail, F.col("v") == F.col("m_p"), "left").select(F.col("v").alias("id"), (F.col("raked") + F.coalesce("mail", F.lit(0))).alias("raked"),
+                                                                                  (F.col("p").isNull() & ~F.col("multi")).alias("root"))
+    return records, left, own, seen["edges"]
 
-def _round(edges: DataFrame, raked: DataFrame, k: int):
-    """One rake and one compress step: (records, remaining edges, raked, flagged edges) as stage
-    tables; the last is only there to be released."""
-    ends = edges.select(F.col("p").alias("n"), F.lit(0).alias("i"), F.lit(1).alias("o"), (F.col("p") == F.col("c")).cast("int").alias("l")).unionAll(
-        edges.select(F.col("c").alias("n"), F.lit(1), F.lit(0), F.lit(0)))
-    deg = ends.groupBy("n").agg(F.sum("i").alias("i"), F.sum("o").alias("o"), F.max("l").alias("l")).join(raked, F.col("n") == raked["id"], "left").select(
-        "n", "i", "o", "l", F.coalesce("raked", F.lit(0)).cast("bigint").alias("r"))
-    flags = lambda x: deg.select(F.col("n").alias(x), ((F.col("i") == 1) & (F.col("o") == 1) & (F.col("l") == 0)).alias(x + "_cand"),
-                                 ((F.col("i") == 1) & (F.col("o") == 0)).alias(x + "_leaf"), F.col("r").alias(x + "_r"))
-    e = materialize(edges.join(flags("p"), "p").join(flags("c"), "c"), f"hier-flags-{k}")
-    h = lambda x: F.xxhash64(F.col(x), F.lit(k))
-    first = e.where(F.expr("c_cand AND NOT c_leaf") & (~F.col("p_cand") | (h("c") > h("p")))).select(
-        F.col("c").alias("v"), "p", F.col("w").alias("w1"), F.col("inner").alias("i1"), F.col("hidden").alias("h1"), F.col("c_r").alias("own"))
-    second = e.where(F.expr("p_cand AND NOT c_leaf") & (~F.col("c_cand") | (h("p") > h("c")))).select(
-        F.col("p").alias("v"), "c", F.col("w").alias("w2"), F.col("inner").alias("i2"), F.col("hidden").alias("h2"))
-    spliced = first.join(second, "v")
-    leaves = e.where("c_leaf").select(F.col("c").alias("v"), "p", F.col("w").alias("w1"), F.col("hidden").alias("h1"), F.lit(None).cast("int").alias("c"),
-                                      F.lit(0).cast("bigint").alias("i2"), F.col("c_r").alias("own"), F.col("inner").alias("i1"), F.lit(0).alias("w2"), F.lit(None).cast("array<int>").alias("h2"))
-    records = materialize(leaves.unionByName(spliced), f"hier-records-{k}")
-    removed = records.where("c IS NOT NULL").select("v")
-    rest = (e.where("NOT c_leaf").select("p", "c", "w", "inner", "hidden")
-            .join(removed.withColumnRenamed("v", "p"), "p", "left_anti").join(removed.withColumnRenamed("v", "c"), "c", "left_anti"))
-    new = records.where("c IS NOT NULL").select("p", "c", (F.col("w1") + F.col("w2")).alias("w"), (F.col("i1") + 1 + F.col("own") + F.col("i2")).alias("inner"),
-                                                F.concat("h1", F.array("v"), "h2").alias("hidden"))
-    left = materialize(rest.select("p", "c", "w", "inner", "hidden").unionByName(new), f"hier-edges-{k}")
-    folded = records.where("c IS NULL").groupBy(F.col("p").alias("id")).agg(F.sum(F.col("own") + F.col("i1") + 1).alias("raked"))
-    raked = materialize(raked.unionByName(folded).groupBy("id").agg(F.sum("raked").alias("raked")), f"hier-raked-{k}")
-    return records, left, raked, e
-
-
-def _reverse(records: DataFrame, state: DataFrame) -> DataFrame:
+
+def _reverse(records: DataFrame, splices: int, state: DataFrame, paths: bool) -> DataFrame:
     """States of the nodes that one round removed, from those of their neighbours."""
-    of_p = state.select(F.col("id").alias("p"), "root", "depth", "path", F.col("cycle").alias("p_cycle"), F.col("scc").alias("p_scc"))
-    of_c = state.select(F.col("id").alias("c"), F.col("total").alias("c_total"), F.col("cycle").alias("c_cycle"), F.col("scc").alias("c_scc"))
-    x = records.join(of_p, "p").join(of_c, "c", "left")
-    on_cycle = F.coalesce((F.col("p_scc") == F.col("c_scc")) & (F.col("p_cycle") == 1), F.lit(False))
+    of_p = state.select(F.col("id").alias("p"), "root", "depth", *(["path"] if paths else []), F.col("cycle").alias("p_cycle"), F.col("scc").alias("p_scc"))
     known = F.col("depth") >= 0
-    return x.select(
-        F.col("v").alias("id"), "root", F.when(known, F.col("depth") + F.col("w1")).otherwise(-1).alias("depth"),
-        F.when(known, F.concat("path", "h1", F.array("v"))).otherwise(F.array().cast("array<int>")).alias("path"),
-        F.when(F.col("c").isNull(), F.col("own")).when(on_cycle, F.col("c_total"))
-        .otherwise(F.col("own") + F.col("i2") + 1 - F.col("c_cycle") + F.col("c_total")).cast("bigint").alias("total"),
-        on_cycle.cast("int").alias("cycle"), F.when(on_cycle, F.col("p_scc")).otherwise(F.col("v")).alias("scc"))
+    place = ["root", F.when(known, F.col("depth") + F.col("w")).otherwise(-1).alias("depth")]
+    if paths:
+        place.append(F.when(known, F.concat("path", "hidden", F.array("v"))).otherwise(F.array().cast("array<int>")).alias("path"))
+    out = records.where(F.col("kind") == _RAKE).join(of_p, "p").select(F.col("v").alias("id"), *place, F.col("raked").alias("total"), F.lit(0).alias("cycle"), F.col("v").alias("scc"))
+    if splices:
+        of_c = state.select(F.col("id").alias("c"), F.col("total").alias("c_total"), F.col("cycle").alias("c_cycle"), F.col("scc").alias("c_scc"))
+        x = records.where(F.col("kind") == _SPLICE).join(of_p, "p").join(of_c, "c")
+        on_cycle = (F.col("p_scc") == F.col("c_scc")) & (F.col("p_cycle") == 1)
+        out = out.unionByName(x.select(
+            F.col("v").alias("id"), *place, F.when(on_cycle, F.col("c_total")).otherwise(F.col("raked") + F.col("inner2") + 1 - F.col("c_cycle") + F.col("c_total")).cast("bigint").alias("total"),
+            on_cycle.cast("int").alias("cycle"), F.when(on_cycle, F.col("p_scc")).otherwise(F.col("v")).alias("scc")))
+    return out
+
 
+def _ends(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("p").alias("id")).union(edges.select("c")).distinct()
 
-def _finish(edges: DataFrame, raked: DataFrame) -> DataFrame:
+
+def _finish(edges: DataFrame, own: DataFrame, paths: bool) -> DataFrame:
     """The remaining graph in one task; its size was checked."""
-    nodes = edges.select(F.col("p").alias("id")).union(edges.select("c")).distinct()
-    own = nodes.join(raked, "id").select(F.col("id").alias("p"), F.lit(None).cast("int").alias("c"), F.lit(0).alias("w"), F.col("raked").alias("inner"),
-                                         F.array().cast("array<int>").alias("hidden"))
+    folded = _ends(edges).join(own.where("raked > 0"), "id").select(F.col("id").alias("p"), F.lit(None).cast("int").alias("c"), F.lit(0).alias("w"), F.col("raked").alias("inner"),
+                                                                    F.array().cast("array<int>").alias("hidden"))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         lone = pdf["c"].isna()
         extra = dict(zip(pdf.loc[lone, "p"].astype(int), pdf.loc[lone, "inner"].astype(int)))
         rows = pdf[~lone]
         links = sorted(zip(rows["p"].astype(int), rows["c"].astype(int), rows["w"].astype(int), rows["inner"].astype(int), map(list, rows["hidden"])))
-        return pd.DataFrame(solve_local(links, extra), columns=["id", "root", "depth", "path", "total", "cycle", "scc"])
+        return pd.DataFrame(solve_local(links, extra, paths), columns=["id", "root", "depth", "path", "total", "cycle", "scc"])
 
-    return edges.unionByName(own).withColumn("one", F.lit(1)).groupBy("one").applyInPandas(solve, _STATE)
+    return edges.unionByName(folded).withColumn("one", F.lit(1)).groupBy("one").applyInPandas(solve, _STATE)
 
 
-def _core(edges: DataFrame, raked: DataFrame, nodes: DataFrame) -> DataFrame:
+def _core(edges: DataFrame, raked: DataFrame) -> DataFrame:
     """A core too large for one task: distances by relaxation, reach by distributed doubling."""
     pairs = descendant_pairs(edges.select("p", "c").distinct())
     ids = edges.select(F.col("p").alias("id")).union(edges.select("c")).distinct()
@@ -334,35 +436,52 @@ def descendant_pairs(edges: DataFrame) -> DataFrame:
         pairs, n = wider, more
 
 
-def hierarchy(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
-    """Per node: id, root, depth, path (ids from the root), n_descendants, in_cycle.
-    ``nodes``: id; ``edges``: p, c, distinct."""
-    spark = nodes.sparkSession
-    edges = materialize(edges.select("p", "c", F.lit(1).alias("w"), F.lit(0).cast("bigint").alias("inner"), F.array().cast("array<int>").alias("hidden")), "hier-edges")
-    raked = spark.createDataFrame([], "id int, raked bigint")
-    records, count, k = [], edges.count(), 0
-    while count > local_edges:
-        before = edges, raked
-        gone, edges, raked, flagged = _round(*before, k)
-        left = edges.count()
-        for done in (*before, flagged):  # the round's results are written, so its inputs can go
-            release(done)
-        k += 1
-        if gone.isEmpty():
-            break
-        records.append(gone)
-        count = left
-    core = _finish(edges, raked) if count <= local_edges else _core(edges, raked, nodes)
-    state = materialize(core, "hier-core")
-    removed = None
-    for gone in records:
-        removed = gone.select(F.col("v").alias("id")) if removed is None else removed.unionByName(gone.select(F.col("v").alias("id")))
-    lone = nodes.join(state.select("id"), "id", "left_anti")
-    if removed is not None:
-        lone = lone.join(removed, "id", "left_anti")
-    lone = lone.join(raked, "id", "left").select("id", F.col("id").alias("root"), F.lit(0).alias("depth"), F.array("id").alias("path"),
-                                                  F.coalesce("raked", F.lit(0)).cast("bigint").alias("total"), F.lit(0).alias("cycle"), F.col("id").alias("scc"))
-    state = state.unionByName(materialize(lone, "hier-lone"))
-    for i, gone in enumerate(reversed(records)):
-        state = state.unionByName(materialize(_reverse(gone, state), f"hier-back-{i}"))
-    return state.select("id", "root", "depth", "path", (F.col("total") - F.col("cycle")).cast("int").alias("n_descendants"), F.col("cycle").alias("in_cycle"))
+def hierarchy(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_EDGES, paths: bool = True) -> DataFrame:
+    """Per node: id, root, depth, n_descendants, in_cycle, and with ``paths`` path (ids from the
+    root). ``nodes``: id; ``edges``: p, c; both distinct."""
+    records, left, own, n_left = contract(nodes, edges, local_edges, paths)
+    core = _finish(left, own, paths) if n_left <= local_edges else _core(left, own)
+    columns = ["id", "root", "depth", *(["path"] if paths else []), "total", "cycle", "scc"]
+    lone = own.where("root").join(_ends(left), "id", "left_anti").select(
+        "id", F.col("id").alias("root"), F.lit(0).alias("depth"), F.array("id").alias("path"), F.col("raked").alias("total"), F.lit(0).alias("cycle"), F.col("id").alias("scc"))
+    state = materialize(core.select(*columns).unionByName(lone.select(*columns)), "hier-core")
+    for i, (gone, splices) in enumerate(reversed(records)):
+        state = state.unionByName(materialize(_reverse(gone, splices, state, paths), f"hier-back-{i}"))
+    return state.select("id", "root", "depth", *(["path"] if paths else []), (F.col("total") - F.col("cycle")).cast("int").alias("n_descendants"), F.col("cycle").alias("in_cycle"))
+
+
+def descendants(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """All pairs (a, d) of a node and another node below it, by reversing the contraction: what
+    leads to a removed node is what leads to its only parent, that parent and the nodes hidden
+    between them. So every pair is made once; only nodes spliced out of a cycle are deduplicated."""
+    records, left, _, n_left = contract(nodes, edges, local_edges, True)
+    if n_left <= local_edges:
+        def lead(batches):
+            links = [(p, c, h) for b in batches for p, c, h in zip(*(b.column(i).to_pylist() for i in range(3)))]
+            for v, led in local_ancestors(links):
+                for at in range(0, len(led), 50_000):
+                    part = led[at:at + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([v] * len(part), pa.int32())], names=["a", "d"])
+
+        core = left.select("p", "c", "hidden").coalesce(1).mapInArrow(lead, "a int, d int")
+    else:
+        closed = descendant_pairs(left.select("p", "c").distinct())
+        inside = left.select("c", F.explode("hidden").alias("a"))
+        through = inside.select("a", F.col("c").alias("d")).unionByName(inside.join(closed.withColumnRenamed("a", "c"), "c").select("a", "d"))
+        core = closed.unionByName(through).distinct()
+    # Every node leads to itself here; such pairs are left out at the end.
+    itself = lambda df, x: df.select(F.col(x).alias("a"), F.col(x).alias("d"))
+    roots = nodes.select("id")
+    for gone, _ in records:
+        roots = roots.join(gone.select(F.col("v").alias("id")), "id", "left_anti")
+    pairs = materialize(core.where("a <> d").unionByName(itself(roots, "id")), "pairs-core")
+    for i, (gone, splices) in enumerate(reversed(records)):
+        above = gone.select("kind", "v", F.col("p").alias("d"), "hidden")
+        via = above.join(pairs, "d").select("kind", "a", F.col("v").alias("d"))
+        between = above.select("kind", F.explode("hidden").alias("a"), F.col("v").alias("d")).unionByName(above.select("kind", F.col("v").alias("a"), F.col("v").alias("d")))
+        new = via.unionByName(between)
+        out = new.where(F.col("kind") == _RAKE).select("a", "d")
+        if splices:
+            out = out.unionByName(new.where(F.col("kind") == _SPLICE).select("a", "d").distinct())
+        pairs = pairs.unionByName(materialize(out, f"pairs-back-{i}"))
+    return pairs.where("a <> d")

@@ -9,23 +9,22 @@ from talespan.operators.intervals import segment_periods
 from talespan.runtime import table
 
 
-def _hierarchy(spark: SparkSession, d: str) -> DataFrame:
-    return tree.hierarchy(*tree.concept_edges(table(spark, d, "concepts")))
+def _hierarchy(spark: SparkSession, d: str, paths: bool) -> DataFrame:
+    return tree.hierarchy(*tree.concept_edges(table(spark, d, "concepts")), paths=paths)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return _hierarchy(spark, d).select(F.col("id").alias("concept_idx"), F.col("root").alias("root_idx"), "depth", "n_descendants", "in_cycle")
+    return _hierarchy(spark, d, False).select(F.col("id").alias("concept_idx"), F.col("root").alias("root_idx"), "depth", "n_descendants", "in_cycle")
 
 
 def p3_paths(spark: SparkSession, d: str) -> DataFrame:
     """Full path of each concept from its root, as ids; empty where no root leads to it."""
-    return _hierarchy(spark, d).select(F.col("id").alias("concept_idx"), F.array_join(F.col("path").cast("array<string>"), "/").alias("path"))
+    return _hierarchy(spark, d, True).select(F.col("id").alias("concept_idx"), F.array_join(F.col("path").cast("array<string>"), "/").alias("path"))
 
 
 def p3_descendants(spark: SparkSession, d: str) -> DataFrame:
     """All pairs of a concept and another concept below it."""
-    _, edges = tree.concept_edges(table(spark, d, "concepts"))
-    return tree.descendant_pairs(edges).where("a <> d").select(F.col("a").alias("concept_idx"), F.col("d").alias("descendant_idx"))
+    return tree.descendants(*tree.concept_edges(table(spark, d, "concepts"))).select(F.col("a").alias("concept_idx"), F.col("d").alias("descendant_idx"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
