@@ -40,9 +40,9 @@ ORACLES = {
     "p2_merged": _P2 + """,
 g AS (SELECT transcript_id, segment_idx, concept, count(*) AS n_records,
        arg_min(struct_pack(id := match_id, i := match_idx, s := source, at := scored_at), pref - 1000000 * (s_ok + e_ok + t_ok)) AS best,
-       arg_min(struct_pack(v := score), pref) FILTER (WHERE s_ok = 1) AS sc, arg_min(struct_pack(v := evidence), pref) FILTER (WHERE e_ok = 1) AS ev
+       arg_min(struct_pack(v := score, s := source), pref) FILTER (WHERE s_ok = 1) AS sc, arg_min(struct_pack(v := evidence, s := source), pref) FILTER (WHERE e_ok = 1) AS ev
 FROM p GROUP BY transcript_id, segment_idx, concept)
-SELECT transcript_id, segment_idx, concept, best.id AS survivor_id, best.i AS match_idx, best.s AS source, best.at AS scored_at, sc.v AS score, ev.v AS evidence, n_records FROM g""",
+SELECT transcript_id, segment_idx, concept, best.id AS survivor_id, best.i AS match_idx, best.s AS source, best.at AS scored_at, sc.v AS score, sc.s AS score_source, ev.v AS evidence, ev.s AS evidence_source, n_records FROM g""",
     "p2_found": _P2 + """
 SELECT transcript_id, segment_idx,
        arg_min(match_id, pref - 1000000 * (s_ok + e_ok + t_ok)) AS survivor_id,

@@ -2,31 +2,40 @@
 
 Finds email addresses, phone numbers, identity numbers, street addresses and person names, and
 replaces them by typed placeholders. Method: numbers that pass their format's check are replaced
-by format-preserving pseudonyms: a keyed Feistel network permutes the digits within the format,
-walking on until the format's check holds again, so equal numbers stay linked across documents
-and the placeholder shows no original. Other kinds carry a short keyed code for the same reason.
+by format-preserving pseudonyms: a keyed Feistel network permutes the digits and letters within the
+format, walking on until the format's check holds again, so equal numbers stay linked across
+documents and the placeholder shows no original. A phone keeps its country code and trunk prefix;
+its national number alone is permuted, so all spellings of a number get the same one. Other kinds
+carry a keyed code of 128 bits for the same reason. Every find comes with its placeholder.
+
+Names are anchored by a list of given names (fixed ones and a parameter), by initials and titles,
+and by structure: two or more capitalised words, particles between them, count as a name beside words
+that introduce or follow persons, beside another name, or with a particle that only names have.
 
 Every row is handled on its own where it is read: no shuffle, no state. Kinds are searched in a
 fixed order (email, identity, phone, address, name); a found span is closed to later kinds.
 
 Cases: null and empty texts give no rows and stay as they are; texts are read whole whatever
 their length; a text under several ids is reported under each; positions count Unicode
-characters; overlapping finds fall to the kind earlier in the order; other columns are ignored.
+characters; overlapping finds fall to the kind earlier in the order; words that announce another
+kind of number count within 30 characters before it; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import datetime
 import hashlib
+import math
 import re
 import unicodedata
-from collections.abc import Iterable
+from base64 import b32encode
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from talespan.llm.tokens import slices
-from talespan.runtime import spread
+from talespan.runtime import materialize, spread
 
 KINDS = ("email", "phone", "identity", "address", "name")
 
@@ -122,6 +131,36 @@ _INIT = r"(?:[A-Z]\.(?:\s?[A-Z]\.){0,3})"
 _SUR = rf"(?!(?:INT|NARR)\b)[{_U}](?:{_L}|[̀-ͯ'’]){{2,}}(?:-[{_U}](?:{_L}|[̀-ͯ'’]){{2,}})?"
 _TITLE = r"(?:[Dd]e\s{1,2}[Hh]eer|[Mm]evrouw|[Mm]evr\.|[Mm]w\.|[Dd]hr\.|[Mm]eneer|[Mm]ijnheer|[Hh]eer|Herrn?|Frau|Fräulein|Mrs?\.?|Ms\.?|Miss|Dr\.|Prof\.|[Dd]e\s[Hh]eer)"
 
+# Capitalised words that begin no name of a person; after a sentence's start or before a thing's own name.
+_NO_NAME = """
+Achter Als An Archief Auf Aus Bei Beste Bij Beyond By Can Could Daar Dan Das Dat De Dear Dein Dem Den Denn Der Des Dies Diese Die Dit Door Dort Ein Eine Einen Er Erinnern Es Euer
+Foundation Für Gegen Geachte Gedenkstätte Hallo Have Het Hier His Hotel Huis Ich Ihr Im Institut Instituut Is Jede Jeden Jeder Kamp Kann Können Konzentrationslager Lager Liebe Lieber Maar Mein Met
+Mijn Mit Mr Mrs Museum My Na Nach Naar Niet Noch Not Nu Of On Onder Ondertussen Ons Ook Op Oud Oude Our Over Rijks Royal Schule School Seine Sind Sehr Sie Sint So Stad Stadt Station Stichting Te Tegen
+That The Their Then There They This To Toen Tot Und Uit Unser Van Veel Verein Vereniging Voor Vor Von Wat We Welche Wer What When Where Who Wie Wij Will Wir With Wo You Zu Zum Zur
+Volgens Laut According Grüßen Groet Groeten Regards Wishes Contact Kontakt Dank Danke Thanks Redaktion Redactie Editors Kollegin Kollege Collega Colleague Kollegen Collega's
+""".split()
+_PARTS = rf"(?:{_PART}|[Ee]l|[Aa]l|[Bb]en|[Bb]in|[Ii]bn|[Dd]a|[Dd]i|[Dd]os|[Dd]el|[Dd]ella|[Ll]a|[Ll]e|[Dd]u)"
+#: Particles that stand in names only, so that a pair with one needs no word beside it.
+_NAME_PART = re.compile(r"\s(?:el|al|ben|bin|ibn|dos|della)\s")
+_NOT = rf"(?!(?:{'|'.join(_NO_NAME)})\b)"
+_FIRST = rf"[{_U}](?:{_L}|[̀-ͯ'’-])+"
+_PAIR = re.compile(
+    rf"(?<![\w.@’'-]){_NOT}(?:{_FIRST}(?:{_SP}{_INIT})?(?:{_SP}{_PARTS})?{_SP}{_NOT}{_SUR}(?!{_SP}(?:{_EN_SUFFIX})\b)|{_SUR},{_SP}{_NOT}{_FIRST}(?:{_SP}{_INIT})?(?:{_SP}{_PART}(?!\w))?)(?![\w’'])")
+_BEFORE_INITIAL = re.compile(rf"(?<![\w.@’'-]){_NOT}{_FIRST}{_SP}$")
+#: Words that introduce a person, or a name beside it (masked here), right before the pair.
+_INTRODUCES = re.compile(
+    rf"(?:\b(?:heette|heet|heten|genaamd|genoemd|noemt|noemde|named|called|mentions|mentioned|hieß|heißt|namens|nennt|nannte|volgens|according\s+to|laut|contact|kontakt|contactpersoon|"
+    rf"ondertekend\s+door|signed\s+by|nagekeken\s+door|checked\s+by|geprüft\s+von|geschreven\s+door|written\s+by|interview(?:ed)?\s+(?:met|with|mit|by)|gesprek\s+met|talked\s+to|spoke\s+(?:to|with)|"
+    rf"sprak\s+met|sprach\s+mit|kleinkind|grandchild|enkelkind|(?:groot)?vader|(?:groot)?moeder|(?:grand)?father|(?:grand)?mother|broer|zus(?:ter)?|brother|sister|bruder|schwester|neef|nicht|oom|tante|uncle|aunt|"
+    rf"bij|met|naast|with|by|next\s+to|beside|bei|mit|neben|bitte\s+an|to|home\s+of|ring|call|bel|shows|staan|staat|sieht\s+man|kunt\s+u|dochter|zoon|daughter|son|tochter|sohn|vriend(?:in)?|friend|buurman|buurvrouw|neighbou?r|collega|colleague|kolleg(?:e|in)|groet(?:en)?|regards|wishes|grüßen|beste|dear|liebe[rs]?|geachte)|"
+    rf"{_MASK}(?:,|\s{{1,2}}(?:en|and|und))|(?:^|\n)\s*(?:naam|name))\s*[:,]?\s{{1,3}}$", re.I)
+_ADDRESSES = re.compile(r"\b(?:beste|dear|liebe[rs]?|geachte|geehrter?)\s{1,3}$", re.I)
+_FOLLOWS = re.compile(
+    r"\s{1,2}(?:bellen|thuis|wil|wishes|möchte|called|zei|zegt|vertelde|vertelt|overleed|belde|weet|wist|schreef|werd\s+geboren|is\s+geboren|said|says|told|tells|died|knows|knew|wrote|was\s+born|sagte|sagt|erzählt|erzählte|starb|weiß|wusste|schrieb|rief|wurde\s+geboren)\b"
+    rf"|,?\s{{1,2}}(?:geboren|born|geb\.)\s|\s{{1,2}}(?:en|and|und)\s{{1,2}}{_MASK}")
+#: Characters around a pair in which such words are looked for; longer than any of them.
+_BESIDE = 48
+
 
 def _trie_pattern(words: Iterable[str]) -> str:
     """A pattern that matches any of the words, sharing their beginnings."""
@@ -143,14 +182,19 @@ def _trie_pattern(words: Iterable[str]) -> str:
     return build(root)
 
 
+def _forms(given: Iterable[str]) -> set[str]:
+    """The spellings in which given names are looked for: as they are, without accents, in
+    capitals, with accents as signs of their own."""
+    names = {unicodedata.normalize("NFC", n) for n in given if n and len(n) > 2 and n[0].isupper()}
+    plain = {"".join(c for c in unicodedata.normalize("NFKD", n) if not unicodedata.combining(c)) for n in names}
+    return names | plain | {n.upper() for n in names | plain} | {unicodedata.normalize("NFD", n) for n in names}
+
+
 class Finder:
     """Finds the spans of one text. ``given``: further given names."""
 
     def __init__(self, given: Iterable[str] = ()):
-        names = {unicodedata.normalize("NFC", n) for n in [*GIVEN_NAMES, *given] if n and len(n) > 2 and n[0].isupper()}
-        plain = {"".join(c for c in unicodedata.normalize("NFKD", n) if not unicodedata.combining(c)) for n in names}
-        forms = names | plain | {n.upper() for n in names | plain} | {unicodedata.normalize("NFD", n) for n in names}
-        g = f"(?:{_trie_pattern(forms)})(?![\\w’'])"
+        g = f"(?:{_trie_pattern(_forms([*GIVEN_NAMES, *given]))})(?![\\w’'])"
         # (?!_SUR) after "Surname, Given" keeps "Town, Given Surname" from being read as reversed.
         self.name = re.compile(
             rf"(?<![\w.@’'-])(?:"
@@ -172,12 +216,36 @@ class Finder:
             streets = self._addresses(work)
             found += streets
             work = self._mask(work, streets)
+        names = []
         for m in self.name.finditer(work):
             s, e = m.span("title") if m["title"] else m.span()
-            found.append((s, e, "name"))
+            # A given name that is not listed may stand before the initials.
+            if text[s + 1:s + 2] == "." and (first := _BEFORE_INITIAL.search(work, _words_before(work, s, 1), s)):
+                s = first.start() if first.start() >= (names[-1][1] if names else 0) else s
+            names.append((s, e, "name"))
+        found += names
+        found += self._by_structure(self._mask(work, names))
         found.sort()
         return found
 
+    @staticmethod
+    def _by_structure(text: str) -> list[tuple[int, int, str]]:
+        """Names that only their structure and the words beside them tell."""
+        out, at = [], 0
+        while m := _PAIR.search(text, at):
+            s, e = m.span()
+            beside = text[max(0, s - _BESIDE):s]
+            # "Dear colleague, Later we ...": what follows the comma of an address is no given name.
+            if "," in m[0] and _ADDRESSES.search(beside):
+                at = s + 1
+            elif _NAME_PART.search(text, s, e) or _INTRODUCES.search(beside) or _FOLLOWS.match(text, e):
+                out.append((s, e, "name"))
+                text = text[:s] + _MASK * (e - s) + text[e:]
+                at = e
+            else:
+                at = s + 1
+        return out
+
     @staticmethod
     def _mask(text: str, spans: list[tuple[int, int, str]]) -> str:
         if not spans:
@@ -242,7 +310,7 @@ class Finder:
                 at = full.end()
                 out.append((flat.start() if flat else m.start(1), at, "address"))
             elif text.endswith(_NL_SUFFIX, 0, m.start()):
-                head = _STREET_HEAD.search(text, max(0, m.start() - 60), m.start())
+                head = _STREET_HEAD.search(text, _words_before(text, m.start(), 3), m.start())
                 house = _HOUSE.match(text, m.start(1))
                 if head and house and len(head[0]) >= 5:
                     tail = _TOWN_TAIL.match(text, house.end())
@@ -251,6 +319,16 @@ class Finder:
         return out
 
 
+def _words_before(text: str, at: int, n: int) -> int:
+    """Where the n words before a place begin."""
+    for _ in range(n):
+        while at and text[at - 1].isspace():
+            at -= 1
+        while at and not text[at - 1].isspace():
+            at -= 1
+    return at
+
+
 def eleven_test(digits: list[int]) -> bool:
     """The check of nine-digit citizen numbers."""
     return len(digits) == 9 and any(digits) and (sum(d * w for d, w in zip(digits, range(9, 1, -1))) - digits[8]) % 11 == 0
@@ -261,39 +339,71 @@ _DATE_IN_TEXT = re.compile(rf"(?<![\w./-])(?:{_DATE.pattern})(?![\w/-]|\.[0-9])"
 
 
 class Feistel:
-    """Keyed permutation of digit strings of one length, by alternating modular Feistel rounds."""
+    """Keyed permutation of the values of a format, by alternating modular Feistel rounds. A format
+    is a radix per place: 10 for a digit, 26 for a letter, fewer where fewer letters are allowed."""
 
     ROUNDS = 8
 
     def __init__(self, key: str):
         self.key = hashlib.blake2b(key.encode(), digest_size=32).digest()
 
-    def _round(self, r: int, length: int, half: int) -> int:
-        h = hashlib.blake2b(b"%d|%d|%d" % (r, length, half), key=self.key, digest_size=8).digest()
+    def _round(self, r: int, size: int, half: int) -> int:
+        # 16 bytes beyond the half's own size, so that the modulo is even to within 2**-128.
+        n = max(1, (half.bit_length() + 7) // 8)
+        h = hashlib.blake2b(b"%d|%d|" % (r, size) + half.to_bytes(n, "big"), key=self.key, digest_size=min(64, 16 + (size.bit_length() + 7) // 8)).digest()
         return int.from_bytes(h, "big")
 
-    def permute(self, digits: str) -> str:
-        n = len(digits)
-        if n < 2:
-            return str((int(digits) + self._round(0, n, 0)) % 10) if digits else digits
-        u = n // 2
-        v = n - u
-        a, b = int(digits[:u]), int(digits[u:])
+    def permute_places(self, values: list[int], radices: list[int]) -> list[int]:
+        """The permuted value of every place."""
+        if not values:
+            return []
+        cut = len(values) // 2
+        sizes = math.prod(radices[:cut]), math.prod(radices[cut:])
+        halves = []
+        for lo, hi in ((0, cut), (cut, len(values))):
+            x = 0
+            for v, r in zip(values[lo:hi], radices[lo:hi]):
+                x = x * r + v
+            halves.append(x)
+        whole = sizes[0] * sizes[1]
         for r in range(self.ROUNDS):
-            if r % 2 == 0:
-                a = (a + self._round(r, n, b)) % 10**u
-            else:
-                b = (b + self._round(r, n, a)) % 10**v
-        return f"{a:0{u}d}{b:0{v}d}"
-
-    def in_format(self, text: str, valid=None) -> str:
-        """The text with its digits permuted; walks on until ``valid`` holds for the digits."""
-        digits = "".join(c for c in text if c.isdigit())
-        new = self.permute(digits)
-        while valid is not None and not valid([int(c) for c in new]):
-            new = self.permute(new)
-        it = iter(new)
-        return "".join(next(it) if c.isdigit() else c for c in text)
+            k = r % 2
+            halves[k] = (halves[k] + self._round(r, whole, halves[1 - k])) % sizes[k]
+        out = []
+        for k, part in ((1, radices[cut:]), (0, radices[:cut])):
+            x = halves[k]
+            for r in reversed(part):
+                x, v = divmod(x, r)
+                out.append(v)
+        return out[::-1]
+
+    def permute(self, digits: str) -> str:
+        return "".join(map(str, self.permute_places([int(c) for c in digits], [10] * len(digits))))
+
+    def in_format(self, text: str, valid: Callable[[list[int]], bool] | None = None, last_letter: int = 26) -> str:
+        """The text with its digits and capital letters permuted together, whatever signs stand
+        between them; walks on until ``valid`` holds for the places. ``last_letter``: how many
+        letters the last place may have."""
+        spots = [i for i, c in enumerate(text) if c in _ALNUM]
+        values = [_ALNUM[text[i]] for i in spots]
+        radices = [10 if text[i].isdigit() else 26 for i in spots]
+        if spots and radices[-1] == 26 and values[-1] < last_letter:
+            radices[-1] = last_letter
+        new = self.permute_places(values, radices)
+        while valid is not None and not valid(new):
+            new = self.permute_places(new, radices)
+        out = list(text)
+        for i, v in zip(spots, new):
+            out[i] = str(v) if text[i].isdigit() else chr(65 + v)
+        return "".join(out)
+
+    def phone(self, text: str) -> str:
+        """A phone number with its national number permuted: country code and trunk prefix stay, and
+        a number that does not begin with 0 keeps to such numbers."""
+        at = _prefix(text)
+        rest = text[at:]
+        first = next((c for c in rest if c.isdigit()), "0")
+        return text[:at] + self.in_format(rest, (lambda v: v[0] != 0) if first != "0" else None)
 
     def date(self, text: str) -> str:
         """A numeric date permuted among the days of 1700 to 2199, in its own notation (order,
@@ -322,79 +432,153 @@ class Feistel:
 
     def code(self, kind: str, text: str) -> str:
         plain = " ".join(unicodedata.normalize("NFKC", text).casefold().split())
-        return hashlib.blake2b(f"{kind}|{plain}".encode(), key=self.key, digest_size=4).hexdigest()
+        return b32encode(hashlib.blake2b(f"{kind}|{plain}".encode(), key=self.key, digest_size=16).digest()).decode().rstrip("=").lower()
+
+
+_ALNUM = {str(d): d for d in range(10)} | {chr(65 + k): k for k in range(26)}
+#: Country codes of one and of two digits; all others have three.
+_SHORT_CODES = ("1", "7")
+_CODES = {"20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58",
+          "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98"}
+_TRUNK = re.compile(r"[^0-9]*\(0\)|[^0-9]*0(?!0)")
+_NINO = re.compile(r"[A-Z]{2}[0-9]{6}[A-D]")
+
+
+def _prefix(text: str) -> int:
+    """How many characters of a phone number are country code and trunk prefix."""
+    at = 0
+    if m := re.match(r"[^0-9+]*(?:\+|00)[^0-9]*", text):
+        digits = "".join(c for c in text[m.end():] if c.isdigit())
+        n = 1 if digits.startswith(_SHORT_CODES) else 2 if digits[:2] in _CODES else 3
+        at = m.end()
+        while n and at < len(text):
+            n -= text[at].isdigit()
+            at += 1
+    if m := _TRUNK.match(text, at):
+        at = m.end()
+    return at
 
 
 def placeholder(feistel: Feistel, kind: str, text: str) -> str:
-    """The typed placeholder of a found text. The prefix that tells a phone's country or a card's
-    letters stays; the digits are permuted."""
+    """The typed placeholder of a found text. The country code and trunk prefix of a phone stay; all
+    other digits and the letters of numbers are permuted within their format."""
     if kind == "identity":
         digits = [int(c) for c in text if c.isdigit()]
-        return f"[IDENTITY {feistel.in_format(text, eleven_test if eleven_test(digits) else None)}]"
+        plain = "".join(c for c in text if c in _ALNUM)
+        letters = 4 if _NINO.fullmatch(plain) else 26
+        announced = re.sub(r"\bn[or]\b\.?", lambda m: m[0].lower(), text)
+        return f"[IDENTITY {feistel.in_format(announced, eleven_test if len(plain) == 9 and eleven_test(digits) else None, letters)}]"
     if kind == "phone":
-        return f"[PHONE {feistel.in_format(text)}]"
+        return f"[PHONE {feistel.phone(text)}]"
     return f"[{kind.upper()} {feistel.code(kind, text)}]"
 
 
-def given_names(*columns: tuple[DataFrame, str], most: int = 200_000) -> list[str]:
-    """First words of full-name columns that look like given names; a checked, bounded list."""
-    found: set[str] = set()
+#: Given names up to which one pattern holds them all; more are joined to the documents that hold them.
+MOST_NAMES = 200_000
+
+
+def given_names(*columns: tuple[DataFrame, str]) -> DataFrame:
+    """Distinct first words of full-name columns that look like given names: n."""
+    found = None
     for df, col in columns:
-        first = df.select(F.regexp_extract(col, r"^\s*(\p{Lu}[\p{L}\p{M}]{2,})\s", 1).alias("n")).where("n <> ''").distinct()
-        if first.count() > most:
-            raise ValueError(f"more than {most} given names; pass a curated list")
-        found |= {r[0] for r in first.collect()}
-    return sorted(found)
+        first = df.select(F.regexp_extract(col, r"^\s*(\p{Lu}[\p{L}\p{M}]{2,})\s", 1).alias("n")).where("n <> ''")
+        found = first if found is None else found.unionByName(first)
+    return found.distinct()
+
+
+def _with_names(documents: DataFrame, id_col: str, text_col: str, given: DataFrame | Iterable[str] | None, most: int):
+    """(rows: id, text, names of the text's own; names for all texts)."""
+    rows = documents.select(id_col, text_col)
+    if given is None or not isinstance(given, DataFrame):
+        return rows.withColumn("_own", F.lit(None).cast("array<string>")), sorted(set(given or ()))
+    if given.limit(most + 1).count() <= most:
+        return rows.withColumn("_own", F.lit(None).cast("array<string>")), sorted(r[0] for r in given.collect())
+    # Too many for one pattern: each text gets those that it holds, in any of the forms searched.
+    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "pii-rows")
+    words = rows.select("_row", F.explode(F.array_distinct(F.regexp_extract_all(text_col, F.lit(r"(\p{Lu}[\p{L}\p{M}]{2,})"), 1))).alias("w"))
+
+    def spell(batches):
+        for batch in batches:
+            pairs = [(n, w) for n in batch.column(0).to_pylist() for w in _forms([n])]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in pairs], pa.string()), pa.array([w for _, w in pairs], pa.string())], names=["n", "w"])
+
+    held = words.join(given.select("n").mapInArrow(spell, "n string, w string"), "w").groupBy("_row").agg(F.collect_set("n").alias("_own"))
+    return rows.join(held, "_row", "left").select(id_col, text_col, "_own"), []
+
+
+def _with_dates(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The finds and the numeric dates outside of them, in order."""
+    taken = Finder._mask(text, spans)
+    return sorted([*spans, *((m.start(), m.end(), "date") for m in _DATE_IN_TEXT.finditer(taken))])
 
 
-def find_personal(documents: DataFrame, given: Iterable[str] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per occurrence: id_col, start_pos, end_pos, pii_type."""
+class _Finders:
+    """The finder for all texts, and those for texts with names of their own (a few are kept)."""
+
+    def __init__(self, given: list[str]):
+        self.given, self.all, self.own = given, Finder(given), {}
+
+    def find(self, text: str, own: list[str] | None):
+        if not own:
+            return self.all.find(text)
+        key = frozenset(own)
+        if key not in self.own:
+            if len(self.own) > 1000:
+                self.own.clear()
+            self.own[key] = Finder([*self.given, *own])
+        return self.own[key].find(text)
+
+
+def find_personal(documents: DataFrame, given: DataFrame | Iterable[str] | None = None, key: str = "", id_col: str = "doc_id", text_col: str = "text", most: int = MOST_NAMES) -> DataFrame:
+    """One row per occurrence: id_col, start_pos, end_pos, pii_type, placeholder. ``given``: further
+    given names, a list or a frame with column n."""
     kind = documents.schema[id_col].dataType.simpleString()
-    given = sorted(set(given))
+    rows, given = _with_names(documents, id_col, text_col, given, most)
 
     def run(batches):
-        finder = Finder(given)
+        finders, feistel = _Finders(given), Feistel(key)
         for batch in batches:
             for part in slices(batch, 1):
-                take, start, end, kinds = [], [], [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
+                take, start, end, kinds, instead = [], [], [], [], []
+                for i, (text, own) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
                     if text:
-                        for s, e, k in finder.find(text):
+                        for s, e, k in finders.find(text, own):
                             take.append(i)
                             start.append(s)
                             end.append(e)
                             kinds.append(k)
+                            instead.append(placeholder(feistel, k, text[s:e]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(take, pa.int32())), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(kinds, pa.string())],
-                    names=[id_col, "start_pos", "end_pos", "pii_type"])
+                    [part.column(0).take(pa.array(take, pa.int32())), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(kinds, pa.string()), pa.array(instead, pa.string())],
+                    names=[id_col, "start_pos", "end_pos", "pii_type", "placeholder"])
 
-    return spread(documents.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, start_pos int, end_pos int, pii_type string")
+    return spread(rows).mapInArrow(run, f"`{id_col}` {kind}, start_pos int, end_pos int, pii_type string, placeholder string")
 
 
-def redact(documents: DataFrame, key: str, given: Iterable[str] = (), id_col: str = "doc_id", text_col: str = "text", dates: bool = False) -> DataFrame:
+def redact(documents: DataFrame, key: str, given: DataFrame | Iterable[str] | None = None, id_col: str = "doc_id", text_col: str = "text", dates: bool = False, most: int = MOST_NAMES) -> DataFrame:
     """Every row with its text redacted: id_col, text, n_found. Equal values get equal
     placeholders in all documents under one key. ``dates`` also permutes numeric dates, which
     are else left as they are."""
     kind = documents.schema[id_col].dataType.simpleString()
-    given = sorted(set(given))
+    rows, given = _with_names(documents, id_col, text_col, given, most)
 
     def run(batches):
-        finder, feistel = Finder(given), Feistel(key)
+        finders, feistel = _Finders(given), Feistel(key)
         for batch in batches:
             for part in slices(batch, 1):
                 texts, counts = [], []
-                for text in part.column(1).to_pylist():
-                    spans = finder.find(text) if text else []
+                for text, own in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                    spans = finders.find(text, own) if text else []
+                    counts.append(len(spans))
+                    if dates and text:
+                        spans = _with_dates(text, spans)
                     if spans:
                         out, at = [], 0
                         for s, e, k in spans:
-                            out += [text[at:s], placeholder(feistel, k, text[s:e])]
+                            out += [text[at:s], feistel.date(text[s:e]) if k == "date" else placeholder(feistel, k, text[s:e])]
                             at = e
                         text = "".join([*out, text[at:]])
-                    if dates and text:
-                        text = _DATE_IN_TEXT.sub(lambda m: feistel.date(m[0]), text)
                     texts.append(text)
-                    counts.append(len(spans))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int32())], names=[id_col, "text", "n_found"])
 
-    return spread(documents.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, text string, n_found int")
+    return spread(rows).mapInArrow(run, f"`{id_col}` {kind}, text string, n_found int")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from talespan.llm import canonical, packing, pii, runs, survivor, tokens, turns
@@ -69,18 +72,29 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(_packed(spark, d))
 
 
-def _given(spark: SparkSession, d: str) -> list[str]:
+def _given(spark: SparkSession, d: str) -> DataFrame:
     return pii.given_names((table(spark, d, "speakers"), "full_name"))
 
 
+def _key(spark: SparkSession) -> str:
+    """The secret key of pseudonyms: ``spark.talespan.pii.key`` or TALESPAN_PII_KEY. Without one
+    every run draws its own, so placeholders are linked within a run only."""
+    return spark.conf.get("spark.talespan.pii.key", None) or os.environ.get("TALESPAN_PII_KEY") or secrets.token_hex(32)
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return pii.find_personal(table(spark, d, "documents"), _given(spark, d))
+    return pii.find_personal(table(spark, d, "documents"), _given(spark, d), _key(spark)).drop("placeholder")
 
 
 def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
-    """Every document's text with typed placeholders."""
-    return pii.redact(table(spark, d, "documents"), key="talespan", given=_given(spark, d))
+    """Every document's text with typed placeholders, all other text as it is."""
+    return pii.redact(table(spark, d, "documents"), _key(spark), _given(spark, d))
+
+
+def p9_redacted_dates(spark: SparkSession, d: str) -> DataFrame:
+    """The same with numeric dates permuted too."""
+    return pii.redact(table(spark, d, "documents"), _key(spark), _given(spark, d), dates=True)
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_merged, p4_found, p6_found, p6_turn_texts, p7_ids, p8_containers,
-                               p8_fill, p9_found, p9_redacted)}
+                               p8_fill, p9_found, p9_redacted, p9_redacted_dates)}

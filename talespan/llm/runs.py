@@ -88,21 +88,24 @@ def _runs():
             elif i and texts[i - 1] and speakers[i - 1] == speaker and same_words(texts[i - 1], own):
                 values[i] = values[i - 1]
             else:
-                value = seen.setdefault((speaker, *own), i)
-                if i and value == values[i - 1]:  # an earlier value again, but not like its neighbour
-                    value = seen[(speaker, *own)] = i
-                values[i] = value
+                values[i] = seen.setdefault((speaker, *own), i)
+                if i and values[i] == values[i - 1]:  # the neighbour took this value by likeness, yet differs too much
+                    values[i] = seen[(speaker, *own)] = i
                 if i and speaker is not None and speakers[i - 1] is None and same_words(texts[i - 1], own):
                     conditional = i
-        # The row number minus the row number within the value is constant within a run.
+        # Runs are the groups of equal value and equal difference between the row number and the row
+        # number within the value: a value that comes again later has another difference there.
         order = np.argsort(values, kind="stable")
         ranked = values[order]
         starts = np.r_[0, np.flatnonzero(np.diff(ranked)) + 1]
         within = np.empty(n, np.int64)
         within[order] = np.arange(n) - np.repeat(starts, np.diff(np.r_[starts, n]))
-        difference = np.arange(n) - within
-        heads = np.r_[0, np.flatnonzero((np.diff(values) != 0) | (np.diff(difference) != 0)) + 1]
-        ends = np.r_[heads[1:], n] - 1
+        run = np.stack([values, np.arange(n) - within])
+        by_run = np.lexsort((np.arange(n), run[1], run[0]))
+        cuts = np.flatnonzero((np.diff(run[:, by_run]) != 0).any(axis=0)) + 1
+        heads, ends = by_run[np.r_[0, cuts]], by_run[np.r_[cuts, n] - 1]
+        place = np.argsort(heads)
+        heads, ends = heads[place], ends[place]
         last = len(heads) - 1
         for no, (h, e) in enumerate(zip(heads.tolist(), ends.tolist())):
             at_condition = h == conditional or e == conditional - 1

@@ -1,15 +1,18 @@
 """Problem 2: best representative of each duplicate group.
 
-Method: dependent fields form bundles that are taken whole from one record (identity: match id,
-position, uri, source, time; score; evidence). A branch-and-bound search assigns a donor record
-to each bundle, maximising trust under the functional dependencies: the fields of a bundle
-come from one donor, a score or evidence donor must be usable for its bundle, and a uri
-determines one concept per group, so donors come from the group only.
+Method: consistent bundles. Dependent fields form bundles that are taken whole from one record:
+identity (match id, position, uri), score, the score's origin (source, time), evidence, the
+evidence's origin. Functional dependencies couple them: an origin determines the score and the
+evidence that stand with it, so a score may not be shown with the origin of another record. A
+branch-and-bound search assigns a donor record to each bundle, maximising completeness and trust
+among the assignments that break no dependency. Taking the best donor of each bundle alone would
+pair the most trusted origin with a score that it never gave.
 
 Scale: the objective depends only on which of the three checked fields a record has usable and
-on its preference, a total order. So a hash aggregation with map-side combine first keeps, per
-group and usability pattern, the preferred record: at most eight candidates, however large a
-group is. The search runs on those.
+on its preference, a total order, and the dependencies tie donors by record. So a hash aggregation
+with map-side combine first keeps, per group and usability pattern, the preferred record: at most
+eight candidates, however large a group is. The search runs on those. Merged records fetch their
+donors' fields by match_id afterwards, so full rows are no part of the aggregation.
 
 Cases: null, NaN or out-of-range scores, stand-in evidence and unknown sources are unusable;
 a null or unreadable uri forms no group; null segment keys form groups of their own; ties fall
@@ -19,6 +22,8 @@ give no row in ``survivors``; empty tables give no rows; other columns are ignor
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -31,7 +36,9 @@ STAND_INS = ("none", "na", "geen", "nvt", "onbekend", "null", "nan", "unknown",
              "nietbekend", "notavailable", "notapplicable", "ka")
 _SIGNS = r"[^\p{L}\p{N}]*"
 _EMPTY = f"(?i)^{_SIGNS}(?:(?:" + "|".join(_SIGNS.join(w) for w in STAND_INS) + f"){_SIGNS})?$"
-BUNDLES = ("survivor", "score", "evidence")
+BUNDLES = ("survivor", "score", "score_origin", "evidence", "evidence_origin")
+#: (determining bundle, determined bundle), by place in BUNDLES.
+DEPENDENCIES = ((2, 1), (4, 3))
 _UNKNOWN_RANK = 1_000_000
 
 
@@ -45,38 +52,58 @@ def evidence_says(evidence: Column) -> Column:
     return F.coalesce(~evidence.rlike(_EMPTY), F.lit(False))
 
 
-def branch_and_bound(pattern: np.ndarray, preference: np.ndarray) -> tuple[int, int, int]:
-    """Donors (indexes, -1 for none) of the three bundles for one group of candidates.
+Worth = Callable[[int], tuple]
+
+
+def branch_and_bound(donors: Sequence[Sequence[int]], worth: Sequence[Worth], codes: Sequence[Sequence[int]], dependencies: Sequence[tuple[int, int]]) -> tuple[int, ...]:
+    """The donor record of each bundle, -1 for none.
 
-    ``pattern``: bits 1 score, 2 evidence, 4 source usable. ``preference``: rank in the group's
-    total order, 0 preferred. The value of an assignment is compared bundle by bundle: most
-    usable fields, then preference, for the survivor; preference for the others. Branches whose
-    bound (the best value the open bundles could still reach) cannot beat the best found are
-    cut, as are donors that break a dependency.
+    ``donors``: per bundle the records that may supply it; ``worth``: per bundle what a donor
+    is worth, compared bundle by bundle in order; ``codes``: per bundle a code of each record's
+    values, equal where the values are; ``dependencies``: (x, y) pairs, bundle x determines
+    bundle y. An assignment keeps a dependency if some record has both the values chosen for x and
+    those chosen for y; a bundle without donor breaks none.
+
+    Bundles are assigned in order, donors of most worth first. A branch is left when its bound,
+    what it has plus the most that the open bundles could be worth if no dependency held, does
+    not exceed the best found; a donor that breaks a dependency with an earlier one is passed over.
     """
-    n = len(pattern)
-    usable = np.array([bin(int(p)).count("1") for p in pattern])
-    order = sorted(range(n), key=lambda i: (-usable[i], preference[i]))
-    feasible = [order, [i for i in sorted(range(n), key=lambda i: preference[i]) if pattern[i] & 1],
-                [i for i in sorted(range(n), key=lambda i: preference[i]) if pattern[i] & 2]]
-    worth = [lambda i: (int(usable[i]), -int(preference[i])), lambda i: (0, -int(preference[i])), lambda i: (0, -int(preference[i]))]
-    none = (-1, -_UNKNOWN_RANK)
-    bound = [max((worth[b](i) for i in feasible[b]), default=none) for b in range(3)]
-    best: list = [None, None]
+    n = len(donors)
+    ordered = [sorted(d, key=worth[b], reverse=True) for b, d in enumerate(donors)]
+    none = (float("-inf"),)
+    bound = tuple(worth[b](d[0]) if d else none for b, d in enumerate(ordered))
+    holds = {(x, y): set(zip(codes[x], codes[y])) for x, y in dependencies}
+    checks = [[(x, y) for x, y in dependencies if max(x, y) == b] for b in range(n)]
+    best_value, best = None, (-1,) * n
 
     def branch(b: int, chosen: tuple, value: tuple) -> None:
-        if b == 3:
-            if best[0] is None or value > best[0]:
-                best[:] = [value, chosen]
+        nonlocal best_value, best
+        if b == n:
+            if best_value is None or value > best_value:
+                best_value, best = value, chosen
             return
-        for i in feasible[b] or [-1]:
-            got = value + (worth[b](i) if i >= 0 else none,)
-            if best[0] is not None and got + tuple(bound[b + 1:]) <= best[0]:
-                break  # donors come best first, so the rest of this branch is bounded too
-            branch(b + 1, (*chosen, i), got)
+        for i in ordered[b] or [-1]:
+            got = (*value, worth[b](i) if i >= 0 else none)
+            if best_value is not None and got + bound[b + 1:] <= best_value:
+                break  # donors of less worth are bounded too
+            now = (*chosen, i)
+            if all(now[x] < 0 or now[y] < 0 or (codes[x][now[x]], codes[y][now[y]]) in holds[x, y] for x, y in checks[b]):
+                branch(b + 1, now, got)
 
     branch(0, (), ())
-    return best[1]
+    return best
+
+
+def choose_donors(patterns: Sequence[int]) -> tuple[int, ...]:
+    """Donors of BUNDLES for one group whose candidates come in preference order. ``patterns``:
+    bits 1 score, 2 evidence, 4 source usable. The survivor is worth its usable fields, then its
+    preference; a score or evidence is worth that it is usable, and its origin the preference."""
+    every = range(len(patterns))
+    usable = [bin(p).count("1") for p in patterns]
+    score, evidence = [i for i in every if patterns[i] & 1], [i for i in every if patterns[i] & 2]
+    there, preferred = (lambda i: (1,)), (lambda i: (-i,))
+    return branch_and_bound([every, score, every if score else [], evidence, every if evidence else []],
+                            [lambda i: (usable[i], -i), there, preferred, there, preferred], [every] * len(BUNDLES), DEPENDENCIES)
 
 
 _CHOSEN = StructType([StructField(b, LongType()) for b in BUNDLES])
@@ -85,12 +112,12 @@ _CHOSEN = StructType([StructField(b, LongType()) for b in BUNDLES])
 @F.pandas_udf(_CHOSEN)
 def _choose(patterns: pd.Series, ids: pd.Series) -> pd.DataFrame:
     """Candidates come in preference order, so the position is the preference."""
-    out, known = np.zeros((len(patterns), 3), np.int64), {}
+    out, known = np.zeros((len(patterns), len(BUNDLES)), np.int64), {}
     for k, (p, m) in enumerate(zip(patterns, ids)):
         key = tuple(p)
         got = known.get(key)
         if got is None:
-            got = known[key] = branch_and_bound(np.asarray(p), np.arange(len(p)))
+            got = known[key] = choose_donors([int(x) for x in key])
         out[k] = [m[i] if i >= 0 else 0 for i in got]
     return pd.DataFrame(out, columns=list(BUNDLES))
 
@@ -101,7 +128,7 @@ def _prepared(matches: DataFrame, trust: DataFrame) -> DataFrame:
     ranks = trust.where("source IS NOT NULL").groupBy(source_key(F.col("source")).alias("t_key")).agg(F.min("trust_rank").alias("trust_rank"))
     if ranks.count() <= 10_000:
         ranks = F.broadcast(ranks)
-    m = matches.select("match_id", "transcript_id", "segment_idx", "match_idx", "uri", "source", "score", "evidence", "scored_at",
+    m = matches.select("match_id", "transcript_id", "segment_idx", "uri", "source", "score", "evidence", "scored_at",
                        uri_form(F.col("uri")).alias("concept"), source_key(F.col("source")).alias("s_key"))
     m = m.where("uri IS NOT NULL AND match_id IS NOT NULL").join(ranks, F.col("s_key") == F.col("t_key"), "left")
     score_ok = F.coalesce(~F.isnan("score") & F.col("score").between(0, 1), F.lit(False))
@@ -113,8 +140,7 @@ def _prepared(matches: DataFrame, trust: DataFrame) -> DataFrame:
               + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("bigint"))
     late = F.when(at.isNull(), F.lit(0)).otherwise(-micros - F.lit(1 << 61))
     preference = F.struct(F.coalesce("trust_rank", F.lit(_UNKNOWN_RANK)).alias("rank"), late.alias("late"), F.col("match_id").alias("id"))
-    return m.select("transcript_id", "segment_idx", "concept", "match_id", "match_idx", "uri", "source", "score", "evidence", "scored_at",
-                    pattern.alias("pattern"), preference.alias("preference"))
+    return m.select("transcript_id", "segment_idx", "concept", "match_id", pattern.alias("pattern"), preference.alias("preference"))
 
 
 def survivors(matches: DataFrame, trust: DataFrame) -> DataFrame:
@@ -134,15 +160,22 @@ def survivors(matches: DataFrame, trust: DataFrame) -> DataFrame:
 
 def merged_records(matches: DataFrame, trust: DataFrame) -> DataFrame:
     """Every group's surviving record built from whole bundles, groups of one included: the
-    survivor's identity bundle, the score of the score donor, the evidence of the evidence
-    donor (null where none is usable), and the number of records."""
+    survivor's identity, the score with the source it stands with, the evidence likewise (null
+    where none is usable), and the number of records."""
     group = ["transcript_id", "segment_idx", "concept"]
-    ready = _prepared(matches, trust)
-    row = F.struct("preference", "pattern", "match_idx", "uri", "source", "scored_at", "score", "evidence")
-    best = ready.groupBy(*group, "pattern").agg(F.min_by(row, "preference").alias("r"), F.count_distinct("match_id").alias("n"))
-    found = best.groupBy(*group).agg(F.array_sort(F.collect_list("r")).alias("c"), F.sum("n").alias("n_records"), F.max(F.length("concept")).alias("form")).where("form > 0")
-    x = found.withColumn("x", _choose(F.col("c.pattern"), F.col("c.preference.id")))
-    pick = lambda b: F.get(F.filter("c", lambda r: r["preference"]["id"] == F.col(f"x.{b}")), F.lit(0))
-    return x.select("transcript_id", "segment_idx", "concept", F.col("x.survivor").alias("survivor_id"), pick("survivor")["match_idx"].alias("match_idx"),
-                    pick("survivor")["source"].alias("source"), pick("survivor")["scored_at"].alias("scored_at"),
-                    pick("score")["score"].alias("score"), pick("evidence")["evidence"].alias("evidence"), F.col("n_records").cast("bigint").alias("n_records"))
+    # One narrow row per record; groups and patterns are then combined before they are shuffled.
+    once = _prepared(matches, trust).groupBy(*group, "match_id").agg(F.min(F.struct("preference", "pattern")).alias("r"))
+    best = once.groupBy(*group, F.col("r.pattern").alias("pattern")).agg(F.min("r.preference").alias("p"), F.count("*").alias("n"))
+    found = best.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("p", "pattern"))).alias("c"), F.sum("n").alias("n_records"), F.max(F.length("concept")).alias("form")).where("form > 0")
+    x = found.select(*group, "n_records", _choose(F.col("c.pattern"), F.col("c.p.id")).alias("x")).select(*group, "n_records", "x.*")
+    # Each donor once, with the roles it plays; its fields are fetched by match_id.
+    roles = F.array(*[F.struct(F.col(b).alias("match_id"), F.lit(b).alias("role")) for b in BUNDLES])
+    wanted = x.select(*group, "n_records", F.col("survivor").alias("survivor_id"), F.explode(roles).alias("d")).where("d.match_id <> 0 OR d.role = 'survivor'")
+    wanted = wanted.groupBy(*group, "n_records", "survivor_id", F.col("d.match_id").alias("match_id")).agg(*[F.bool_or(F.col("d.role") == b).alias("for_" + b) for b in BUNDLES])
+    record = matches.select("match_id", "match_idx", "source", "scored_at", "score", "evidence").where("match_id IS NOT NULL")
+    joined = wanted.join(record, "match_id")
+    of = lambda role, c: F.max(F.when(F.col("for_" + role), F.col(c)))
+    return joined.groupBy(*group, "survivor_id").agg(
+        of("survivor", "match_idx").alias("match_idx"), of("survivor", "source").alias("source"), of("survivor", "scored_at").alias("scored_at"),
+        of("score", "score").alias("score"), of("score_origin", "source").alias("score_source"), of("evidence", "evidence").alias("evidence"),
+        of("evidence_origin", "source").alias("evidence_source"), F.max("n_records").cast("bigint").alias("n_records"))

@@ -1,7 +1,6 @@
 import datetime as dt
 import random
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,15 +46,49 @@ def test_equals_definition(spark, seed):
     assert merged.count() == len({(r[1], r[2], r[4]) for r in rows if r[4]})
 
 
-def test_search_equals_exhaustive():
+def test_donors_equal_their_definition():
     rng = random.Random(1)
-    for _ in range(200):
-        n = rng.randint(1, 8)
-        pattern = np.array([rng.randrange(8) for _ in range(n)])
-        a, b, c = s.branch_and_bound(pattern, np.arange(n))
-        count = [bin(int(p)).count("1") for p in pattern]
-        assert a == min(range(n), key=lambda i: (-count[i], i))
-        assert b == next((i for i in range(n) if pattern[i] & 1), -1) and c == next((i for i in range(n) if pattern[i] & 2), -1)
+    for _ in range(300):
+        pattern = rng.sample(range(8), rng.randint(1, 8))
+        a, b, of_b, c, of_c = s.choose_donors(pattern)
+        count = [bin(p).count("1") for p in pattern]
+        assert a == min(range(len(pattern)), key=lambda i: (-count[i], i))
+        assert b == of_b == next((i for i, p in enumerate(pattern) if p & 1), -1) and c == of_c == next((i for i, p in enumerate(pattern) if p & 2), -1)
+
+
+def greedy(donors, worth):
+    return tuple(max(d, key=w) if d else -1 for d, w in zip(donors, worth))
+
+
+def keeps(chosen, codes, dependencies):
+    return all(chosen[x] < 0 or chosen[y] < 0 or (codes[x][chosen[x]], codes[y][chosen[y]]) in set(zip(codes[x], codes[y])) for x, y in dependencies)
+
+
+def test_search_equals_exhaustive_where_greedy_fails():
+    """Street, postcode and town of three records: postcode determines town."""
+    import itertools
+
+    rng, lost = random.Random(2), 0
+    for _ in range(400):
+        n, k = rng.randint(1, 6), rng.randint(2, 4)
+        donors = [[i for i in range(n) if rng.random() < 0.8] for _ in range(k)]
+        trust = [[rng.randrange(4) for _ in range(n)] for _ in range(k)]
+        worth = [lambda i, t=t: (t[i], -i) for t in trust]
+        codes = [[rng.randrange(3) for _ in range(n)] for _ in range(k)]
+        dependencies = sorted({tuple(rng.sample(range(k), 2)) for _ in range(rng.randint(1, 3))})
+        value = lambda c: tuple(w(i) if i >= 0 else (float("-inf"),) for w, i in zip(worth, c))
+        every = [c for c in itertools.product(*[d or [-1] for d in donors]) if keeps(c, codes, dependencies)]
+        got = s.branch_and_bound(donors, worth, codes, dependencies)
+        assert got == (max(every, key=value) if every else (-1,) * k)
+        lost += not keeps(greedy(donors, worth), codes, dependencies)
+    assert lost > 50
+
+
+def test_the_most_trusted_origin_is_not_given_a_foreign_score():
+    every = range(2)  # the preferred record 0 has no usable score
+    worth = [lambda i: (1,), lambda i: (-i,)]
+    assert greedy([[1], every], worth) == (1, 0)
+    assert s.branch_and_bound([[1], every], worth, [every, every], [(1, 0)]) == (1, 1)
 
 
 def test_empty_and_single(spark):
