@@ -133,6 +133,8 @@ class Labels:
             for f in own:
                 forms.setdefault(f, set()).add(int(no))
         self.names = {f: next(iter(n)) for f, n in forms.items() if len(n) == 1}
+        #: Words that a label before a colon may have: the longest name with titles before it.
+        self.most_words = 3 + max([3, *(f.count(" ") + 1 for f in self.names)])
         self.known: dict[str, int | None] = {}
 
     def get(self, text: str) -> int | None:
@@ -142,7 +144,9 @@ class Labels:
             pass
         if len(self.known) > 50_000:
             self.known.clear()
-        got = self.known[text] = self._resolve(text) if len(text) <= 80 else None
+        got = self._resolve(text)
+        if len(text) <= 200:  # long ones are read anew each time, so the cache stays small
+            self.known[text] = got
         return got
 
     def _resolve(self, text: str) -> int | None:
@@ -223,7 +227,7 @@ def _colon_labels(text: str, labels: Labels) -> str:
             at = end + 1
             continue
         head = text[at:end]
-        spans = [(t.start(), t.group()) for t in re.finditer(r"[^\s\x00]+", head)][-6:]
+        spans = [(t.start(), t.group()) for t in re.finditer(r"[^\s\x00]+", head)][-labels.most_words:]
         found = None
         for k, (start, token) in enumerate(spans):
             clean = token.lstrip(_LEAD)

@@ -47,9 +47,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_turn_texts(spark: SparkSession, d: str) -> DataFrame:
     """Turns with times and clean text, also split at pauses calibrated on the corpus."""
-    captions = table(spark, d, "captions")
-    pause = turns.calibrated_pause(captions)
-    return turns.speaker_turns(captions, table(spark, d, "speakers"), with_text=True, pause_ms=pause)
+    return turns.speaker_turns(table(spark, d, "captions"), table(spark, d, "speakers"), with_text=True, pause_ms=turns.CALIBRATED)
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -160,7 +160,7 @@ def brute_texts(rows):
     return [(s, " ".join(w)) for s, w in out]
 
 
-@pytest.mark.parametrize("chunk", [1, 5, 4096])
+@pytest.mark.parametrize("chunk", [1, 2, 7, 4096])
 def test_turn_texts_equal_one_pass(spark, chunk):
     rows = rolling_captions(4)
     cap, spk = frames(spark, rows)
@@ -209,6 +209,26 @@ def paused_captions(seed, n=400):
     return rows
 
 
+def brute_paused_texts(rows, pause):
+    """Texts of the turns of brute_paused."""
+    labels, words = Labels([(1, "Ann Bakker"), (2, "Bo Smid")]), WordTable()
+    starts = {(t[0], t[3]): t for t in brute_paused(rows, pause)}
+    out = []
+    for tape, no, speaker, first, last, _ in brute_paused(rows, pause):
+        said, state = [], 0
+        for r in (r for r in rows if r[1] == tape and r[2] <= last):
+            if r[3] and labels.get(r[3]):
+                state = labels.get(r[3])
+            for s, w in pieces(r[4], labels, words):
+                state = state if s is None else s
+                if w and r[2] >= first and state == speaker:
+                    k = turns.overlap([words.get(x) for x in said], [words.get(x) for x in w])
+                    said.extend(w[k:])
+        out.append((tape, no, " ".join(said)))
+    assert len(starts) == len(out)
+    return out
+
+
 def brute_paused(rows, pause):
     labels, words, out = Labels([(1, "Ann Bakker"), (2, "Bo Smid")]), WordTable(), []
     for tape in (1, 2):
@@ -238,6 +258,30 @@ def test_pauses_equal_one_pass(spark, seed, chunk):
     assert got == brute_paused(rows, 600)
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 4096])
+def test_calibrated_pauses_equal_one_pass(spark, chunk):
+    import numpy as np
+
+    rows = [(*r[:5], r[5] and r[5] * 30, r[6] and r[6] * 30) for r in paused_captions(8, 250)]
+    gaps, end = [], {}
+    for r in rows:
+        if r[5] is not None and r[1] in end and r[5] > end[r[1]]:
+            gaps.append(r[5] - end[r[1]])
+        if r[6] is not None:
+            end[r[1]] = max(r[6], end.get(r[1], r[6]))
+    pause = max(1500, int(4 * np.sort(gaps)[(len(gaps) - 1) // 2]))
+    assert min(gaps) < pause < max(gaps) and pause > 1500
+    cap, spk = frames(spark, rows, [(1, t, n, name) for t in (1, 2) for n, name in ((1, "Ann Bakker"), (2, "Bo Smid"))])
+    got = sorted((r.tape_no, r.turn_no, r.text) for r in turns.speaker_turns(cap, spk, with_text=True, pause_ms=turns.CALIBRATED, chunk=chunk).collect())
+    assert got == brute_paused_texts(rows, pause)
+
+
+def test_long_labels(spark):
+    name = "Maria Johanna Wilhelmina Catharina Petronella Geertruida Adriana van der Oude Nieuwe Korte Lange Bakkersveld"
+    cap, spk = frames(spark, [(1, 1, 0, None, f"{name}: ja", 0, 1), (1, 1, 1, None, "[INT" + " " * 300 + "] nee", 1, 2)], [(1, 1, 2, name), (1, 1, 1, "Bo Smid")])
+    assert [(r.speaker_no, r.n_words) for r in turns.speaker_turns(cap, spk).orderBy("turn_no").collect()] == [(2, 1), (1, 1)]
+
+
 def test_a_pause_before_a_caption_without_words_splits(spark):
     for text in ("(coughs)", "[gelach]", None, ""):
         rows = [(1, 1, 0, "INT", "wij gingen", 0, 1000), (1, 1, 1, None, text, 7000, 7500), (1, 1, 2, None, "naar huis", 7500, 8000)]
