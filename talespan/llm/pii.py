@@ -131,6 +131,26 @@ _INIT = r"(?:[A-Z]\.(?:\s?[A-Z]\.){0,3})"
 _SUR = rf"(?!(?:INT|NARR)\b)[{_U}](?:{_L}|[̀-ͯ'’]){{2,}}(?:-[{_U}](?:{_L}|[̀-ͯ'’]){{2,}})?"
 _TITLE = r"(?:[Dd]e\s{1,2}[Hh]eer|[Mm]evrouw|[Mm]evr\.|[Mm]w\.|[Dd]hr\.|[Mm]eneer|[Mm]ijnheer|[Hh]eer|Herrn?|Frau|Fräulein|Mrs?\.?|Ms\.?|Miss|Dr\.|Prof\.|[Dd]e\s[Hh]eer)"
 
+def _trie_pattern(words: Iterable[str]) -> str:
+    """A pattern that matches any of the words, sharing their beginnings."""
+    root: dict = {}
+    for w in words:
+        node = root
+        for c in w:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def build(node: dict) -> str:
+        ends = "" in node
+        parts = [re.escape(c) + build(n) for c, n in sorted(node.items()) if c]
+        if not parts:
+            return ""
+        body = parts[0] if len(parts) == 1 and not ends else "(?:" + "|".join(parts) + ")"
+        return body + "?" if ends else body
+
+    return build(root)
+
+
 # Capitalised words that begin no name of a person; after a sentence's start or before a thing's own name.
 _NO_NAME = """
 Achter Als An Archief Auf Aus Bei Beste Bij Beyond By Can Could Daar Dan Das Dat De Dear Dein Dem Den Denn Der Des Dies Diese Die Dit Door Dort Ein Eine Einen Er Erinnern Es Euer
@@ -142,10 +162,10 @@ Volgens Laut According Grüßen Groet Groeten Regards Wishes Contact Kontakt Dan
 _PARTS = rf"(?:{_PART}|[Ee]l|[Aa]l|[Bb]en|[Bb]in|[Ii]bn|[Dd]a|[Dd]i|[Dd]os|[Dd]el|[Dd]ella|[Ll]a|[Ll]e|[Dd]u)"
 #: Particles that stand in names only, so that a pair with one needs no word beside it.
 _NAME_PART = re.compile(r"\s(?:el|al|ben|bin|ibn|dos|della)\s")
-_NOT = rf"(?!(?:{'|'.join(_NO_NAME)})\b)"
+_NOT = rf"(?!{_trie_pattern(_NO_NAME)}\b)"
 _FIRST = rf"[{_U}](?:{_L}|[̀-ͯ'’-])+"
 _PAIR = re.compile(
-    rf"(?<![\w.@’'-]){_NOT}(?:{_FIRST}(?:{_SP}{_INIT})?(?:{_SP}{_PARTS})?{_SP}{_NOT}{_SUR}(?!{_SP}(?:{_EN_SUFFIX})\b)|{_SUR},{_SP}{_NOT}{_FIRST}(?:{_SP}{_INIT})?(?:{_SP}{_PART}(?!\w))?)(?![\w’'])")
+    rf"{_NOT}(?:{_FIRST}(?:{_SP}{_INIT})?(?:{_SP}{_PARTS})?{_SP}{_NOT}{_SUR}(?!{_SP}(?:{_EN_SUFFIX})\b)|{_SUR},{_SP}{_NOT}{_FIRST}(?:{_SP}{_INIT})?(?:{_SP}{_PART}(?!\w))?)(?![\w’'])")
 _BEFORE_INITIAL = re.compile(rf"(?<![\w.@’'-]){_NOT}{_FIRST}{_SP}$")
 #: Words that introduce a person, or a name beside it (masked here), right before the pair.
 _INTRODUCES = re.compile(
@@ -162,26 +182,6 @@ _FOLLOWS = re.compile(
 _BESIDE = 48
 
 
-def _trie_pattern(words: Iterable[str]) -> str:
-    """A pattern that matches any of the words, sharing their beginnings."""
-    root: dict = {}
-    for w in words:
-        node = root
-        for c in w:
-            node = node.setdefault(c, {})
-        node[""] = {}
-
-    def build(node: dict) -> str:
-        ends = "" in node
-        parts = [re.escape(c) + build(n) for c, n in sorted(node.items()) if c]
-        if not parts:
-            return ""
-        body = parts[0] if len(parts) == 1 and not ends else "(?:" + "|".join(parts) + ")"
-        return body + "?" if ends else body
-
-    return build(root)
-
-
 def _forms(given: Iterable[str]) -> set[str]:
     """The spellings in which given names are looked for: as they are, without accents, in
     capitals, with accents as signs of their own."""
@@ -194,10 +194,14 @@ class Finder:
     """Finds the spans of one text. ``given``: further given names."""
 
     def __init__(self, given: Iterable[str] = ()):
-        g = f"(?:{_trie_pattern(_forms([*GIVEN_NAMES, *given]))})(?![\\w’'])"
+        forms = _forms([*GIVEN_NAMES, *given])
+        g = f"(?:{_trie_pattern(forms)})(?![\\w’'])"
+        # Where a name or title may begin; only there the patterns are tried.
+        first = f"[{_U}dmh{''.join(sorted({re.escape(n[0]) for n in forms}))}]"
+        self.start = re.compile(rf"{first}(?<![\w.@’'-]{first})")
         # (?!_SUR) after "Surname, Given" keeps "Town, Given Surname" from being read as reversed.
         self.name = re.compile(
-            rf"(?<![\w.@’'-])(?:"
+            rf"(?:"
             rf"(?P<rev>{_SUR},{_SP}(?:{g}(?:{_SP}{_INIT})?|{_INIT})(?:{_SP}{_PART}(?![\w]))?(?!{_SP}(?:{_INIT}\s)?(?:{_PART}{_SP})?{_SUR}))"
             rf"|{g}(?:{_SP}{_INIT})?(?:(?:{_SP}{_PART})?{_SP}{_SUR}|{_SP}{_SUR})?"
             rf"|{_INIT}{_SP}(?:{_PART}{_SP})?{_SUR}"
@@ -216,34 +220,37 @@ class Finder:
             streets = self._addresses(work)
             found += streets
             work = self._mask(work, streets)
-        names = []
-        for m in self.name.finditer(work):
-            s, e = m.span("title") if m["title"] else m.span()
+        starts = [m.start() for m in self.start.finditer(work)]
+        names, at = [], 0
+        for start in starts:
+            if start < at or not (m := self.name.match(work, start)):
+                continue
+            s, at = m.span("title") if m["title"] else m.span()
             # A given name that is not listed may stand before the initials.
             if text[s + 1:s + 2] == "." and (first := _BEFORE_INITIAL.search(work, _words_before(work, s, 1), s)):
                 s = first.start() if first.start() >= (names[-1][1] if names else 0) else s
-            names.append((s, e, "name"))
+            names.append((s, at, "name"))
         found += names
-        found += self._by_structure(self._mask(work, names))
+        found += self._by_structure(self._mask(work, names), starts)
         found.sort()
         return found
 
     @staticmethod
-    def _by_structure(text: str) -> list[tuple[int, int, str]]:
+    def _by_structure(text: str, starts: list[int]) -> list[tuple[int, int, str]]:
         """Names that only their structure and the words beside them tell."""
         out, at = [], 0
-        while m := _PAIR.search(text, at):
+        for start in starts:
+            if start < at or not (m := _PAIR.match(text, start)):
+                continue
             s, e = m.span()
             beside = text[max(0, s - _BESIDE):s]
             # "Dear colleague, Later we ...": what follows the comma of an address is no given name.
             if "," in m[0] and _ADDRESSES.search(beside):
-                at = s + 1
-            elif _NAME_PART.search(text, s, e) or _INTRODUCES.search(beside) or _FOLLOWS.match(text, e):
+                continue
+            if _NAME_PART.search(text, s, e) or _INTRODUCES.search(beside) or _FOLLOWS.match(text, e):
                 out.append((s, e, "name"))
                 text = text[:s] + _MASK * (e - s) + text[e:]
                 at = e
-            else:
-                at = s + 1
         return out
 
     @staticmethod
