@@ -493,8 +493,9 @@ def interviewee_names(spark, d):
 @query(f"""SELECT transcript_id, CAST(row_number() OVER (PARTITION BY transcript_id ORDER BY segment_idx) - 1 AS INTEGER) AS selection_idx, segment_idx
 FROM ({S}) WHERE length({_FLAT}) >= 60""")
 def segment_choice(spark, d):
-    costed = both(spark, d, SEGMENTS).withColumn("tokens", token_count(F.col("text"), CharacterCounter()))
-    return seg.choose_segments(costed, BACKEND, ["transcript_id"], "tokens", 4000).select("transcript_id", "selection_idx", "segment_idx")
+    counter = CharacterCounter()
+    costed = both(spark, d, SEGMENTS).withColumn("tokens", token_count(tx.flatten(F.col("text")), counter))
+    return seg.choose_segments(costed, BACKEND, ["transcript_id"], "tokens", 4000, seg.selection_tokens(counter)).select("transcript_id", "selection_idx", "segment_idx")
 
 
 def _tree(spark, d):
@@ -527,8 +528,8 @@ def pipeline_enriched(spark, d):
     keys, embedder, counter = ["file_name"], HashingEmbedder(), CharacterCounter()
     captions = materialize(_files(spark, d), "captions")
     names = materialize(seg.interviewee_names(captions, BACKEND, keys), "names")
-    found = materialize(seg.segment_captions(captions, BACKEND, keys).drop("n_captions").withColumn("tokens", token_count(F.col("text"), counter)), "segments")
-    chosen = materialize(seg.choose_segments(found, BACKEND, keys, "tokens", 8000), "selected").select(*keys, F.col("selection_idx").alias("segment_idx"), "start", "end", "text")
+    found = materialize(seg.segment_captions(captions, BACKEND, keys).drop("n_captions").withColumn("tokens", token_count(tx.flatten(F.col("text")), counter)), "segments")
+    chosen = materialize(seg.choose_segments(found, BACKEND, keys, "tokens", 8000, seg.selection_tokens(counter)), "selected").select(*keys, F.col("selection_idx").alias("segment_idx"), "start", "end", "text")
     tree = _tree(spark, d).withColumn("alternate_names", F.lit(None).cast("array<string>"))
     places = table(spark, d, "ref_concepts").where("category <> 'other'").select(
         (F.col("concept_idx") + 10_000_000).alias("concept_idx"), "uri", "name", "category", "description", F.array().cast("array<string>").alias("narrower"),

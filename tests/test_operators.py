@@ -111,9 +111,16 @@ def test_token_batches_equal_the_fold(spark, chunk):
 
 def test_exact_occurrence_quirks(spark):
     seg_rows = [(1, "Over Kamp Aspelaplas, en een foo-bar."), (2, "kampaspelaplas"), (3, "..."), (4, None), (5, "Kamp  Aspelaplas (kamp)"), (6, "x(kamp)y")]
-    con = [(1, "kamp aspelaplas"), (2, ""), (3, "foo-bar"), (4, "(kamp)"), (5, None), (6, "een foo")]
+    con = [(1, "kamp aspelaplas"), (2, ""), (3, "foo-bar"), (4, "(kamp)"), (5, None), (6, "een foo"), (7, "kamp  aspelaplas"), (8, ", "), (9, ", en")]
+    want = [(1, 1), (1, 2), (1, 3), (1, 6), (1, 8), (1, 9), (2, 2), (5, 2), (5, 7), (6, 2), (6, 4)]
     got = m.exact_occurrence(spark.createDataFrame(seg_rows, "s int, text string"), spark.createDataFrame(con, "concept_idx int, name string"), ["s"])
-    assert sorted((r.s, r.concept_idx) for r in got.collect()) == [(1, 1), (1, 2), (1, 3), (1, 6), (2, 2), (5, 2), (6, 2), (6, 4)]
+    assert sorted((r.s, r.concept_idx) for r in got.collect()) == want
+    m.ODD_NAMES, most = 1, m.ODD_NAMES
+    try:
+        again = m.exact_occurrence(spark.createDataFrame(seg_rows, "s int, text string"), spark.createDataFrame(con, "concept_idx int, name string"), ["s"])
+        assert sorted((r.s, r.concept_idx) for r in again.collect()) == want
+    finally:
+        m.ODD_NAMES = most
 
 
 def test_topk_ties_blocks_and_zero(spark):
@@ -211,10 +218,91 @@ def test_topdown_walks_until_no_concept_is_left(spark, monkeypatch):
     monkeypatch.setattr(topdown, "_top_level", lambda *a: Level())
     monkeypatch.setattr(topdown, "_level", level)
     monkeypatch.setattr(topdown, "materialize", lambda df, name: df)
+    monkeypatch.setattr(topdown, "label_budget", lambda *a: F.lit(1))
     match_topdown(Level(), Level(), Level(), RuleBackend(), ["s"], CharacterCounter())
     assert Level.left == 0
 
 
+class Labels:
+    """Notes every prompt's labels; names all concepts."""
+
+    def __init__(self, path):
+        self.path = path
+
+    def complete(self, prompt, system=""):
+        import json
+        import uuid
+
+        labels, _, text = prompt.partition("CONCEPTS\n")[2].partition("\nPART\n")
+        names = [x.removeprefix("- ").split(" – ")[0] for x in labels.split("\n")]
+        (self.path / uuid.uuid4().hex).write_text(json.dumps([text, names]))
+        return json.dumps([{"concept": n, "score": 0.75} for n in names])
+
+
+def test_topdown_batches_leave_room_for_the_segment(spark, tmp_path):
+    """Every batch of every level is the greedy fold within what the segment's own prompt leaves."""
+    import json
+
+    from talespan.functions import prompts
+
+    names = [f"Naam{i:02d}" + "x" * (i % 7) for i in range(24)]
+    con = spark.createDataFrame([(i, f"u{i}", n, "d", [f"u{j}" for j in range(12, 24)] if i < 12 else [], i < 12) for i, n in enumerate(names)],
+                                "concept_idx int, uri string, name string, description string, narrower array<string>, top boolean")
+    texts = ["kort", "lang " * 60, "langer " * 100, "te lang " * 400]
+    s = spark.createDataFrame(list(enumerate(texts)), "s int, text string")
+    counter, limit, said = CharacterCounter(), 260, tmp_path / "said"
+    said.mkdir()
+    got = match_topdown(s, con, con.where("top"), Labels(said), ["s"], counter, limit).collect()
+    asked = sorted(json.loads(p.read_text()) for p in said.iterdir())
+    want = []
+    for text in texts:
+        room = max(0, limit - counter.count([prompts.topdown_prompt([], text)])[0])
+        for level in (names[:12], names[12:]):
+            batches = {}
+            for n, (b, _) in zip(level, greedy([counter.count([f"{n} – d"])[0] + 5 for n in level], room)):
+                batches.setdefault(b, []).append(n)
+            want += [[text, x] for x in batches.values()]
+    assert asked == sorted(want) and len({len(x) for _, x in asked}) > 2
+    assert sorted((r.s, r.match_idx, r.uri, r.score) for r in got) == [(i, j, f"u{12 + j}", 0.75) for i in range(4) for j in range(12)]
+
+
+def test_selection_leaves_room_for_its_prompt(spark):
+    rows = spark.createDataFrame([("a", i, "woord " * 20, 15) for i in range(30)], "k string, segment_idx int, text string, tokens int")
+    room = seg.selection_tokens(CharacterCounter())
+    got = seg.choose_segments(rows, RuleBackend(), ["k"], "tokens", room + 100, room).select("batch_id", "pos_in_batch", "segment_idx").collect()
+    assert sorted((r.segment_idx, r.batch_id, r.pos_in_batch) for r in got) == [(i, b, p) for i, (b, p) in enumerate(greedy([25] * 30, 100))]
+
+
+def test_concepts_are_numbered_by_uri(spark):
+    from talespan.plans.pipeline import number_concepts
+
+    uris = [f"u{i * 7919 % 1000:04d}" for i in range(500)]
+    got = number_concepts(spark.createDataFrame([(u,) for u in uris], "uri string")).collect()
+    assert {r.uri: r.concept_idx for r in got} == {u: i for i, u in enumerate(sorted(uris))}
+
+
+def test_thesaurus_cache_follows_the_file(spark, tmp_path):
+    from talespan.operators.thesaurus import Vocabulary
+    from talespan.plans.pipeline import load_concepts
+
+    sk, p = "http://www.w3.org/2004/02/skos/core#", tmp_path / "t.nt"
+    line = lambda u: f"<{u}> <http://www.w3.org/1999/02/22-rdf-syntax-ns#type> <{sk}Concept> .\n"
+    for text, want in ((line("u:1"), ["u:1"]), (line("u:1"), ["u:1"]), (line("u:1") + line("u:2"), ["u:1", "u:2"])):
+        p.write_text(text)
+        assert sorted(r.uri for r in load_concepts(spark, str(p), Vocabulary(), str(tmp_path / "cache")).collect()) == want
+    assert len(list((tmp_path / "cache").iterdir())) == 2
+
+
+def test_client_is_made_once_a_copy():
+    import pickle
+
+    from talespan.backends.chat import RemoteBackend
+
+    b = RemoteBackend("m", "k")
+    b._client = object()
+    assert b.client() is b.client() and pickle.loads(pickle.dumps(RemoteBackend("m", "k")))._client is None
+
+
 def test_counters():
     assert CharacterCounter().count(["abcdefgh", ""]) == [2, 0]
     assert RankCounter().count(["hello world", ""]) == [2, 0]

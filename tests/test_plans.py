@@ -22,6 +22,18 @@ def test_reads_are_pruned_and_filters_pushed(spark):
     assert "PushedFilters: [IsNotNull(seg_type)" in p and "loaded_at" not in p
 
 
+def test_texts_are_no_part_of_the_exploded_grams(spark):
+    import re
+
+    p = plan(registry.QUERIES["exact_occurrence"](spark, SMALL))
+    assert (grams := re.findall(r"Generate explode\(array_distinct.*", p)) and not [x for x in grams if "_text" in x.partition("false")[0].rpartition("),")[2]]
+
+
+def test_similarity_search_brings_no_vectors_to_the_driver(spark):
+    p = plan(registry.QUERIES["embedding_topk"](spark, SMALL))
+    assert "FlatMapCoGroupsInArrow" in p and "Broadcast" not in p and "Cartesian" not in p
+
+
 @pytest.mark.parametrize("name", ["caption_time_prefix", "dedup_matches", "concepts_from_triples"])
 def test_no_window(spark, name):
     assert "Window" not in plan(registry.QUERIES[name](spark, SMALL))
