@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 _STAGE_DIRS: list[tuple[SparkSession, str]] = []
@@ -28,6 +29,23 @@ def ship(spark: SparkSession) -> None:
     sc._talespan_shipped = True
 
 
+def share_file(spark: SparkSession, path: str) -> str:
+    """Send a driver's file (a vocabulary, a few MB) to the workers, once per context; they open
+    it by :func:`local_file`."""
+    sc = spark.sparkContext
+    sent = sc.__dict__.setdefault("_talespan_files", set())
+    if path not in sent and os.path.exists(path):
+        sc.addFile(path)
+        sent.add(path)
+    return path
+
+
+def local_file(path: str) -> str:
+    """In a worker: where a shared file lies, else the path itself."""
+    own = SparkFiles.get(os.path.basename(path))
+    return own if os.path.exists(own) else path
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of a data directory."""
     ship(spark)
