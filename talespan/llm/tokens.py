@@ -26,7 +26,7 @@ import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 
-from talespan.runtime import spread
+from talespan.runtime import local_file, share_file, spread
 
 #: Unicode white space, as tokenizers understand \s.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -208,7 +208,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """The Python worker's encoder for a vocabulary file; kept between tasks."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(local_file(path))
     return _ENCODERS[path]
 
 
@@ -226,7 +226,7 @@ def slices(batch: pa.RecordBatch, column: int, most: int = _BATCH_CHARS) -> Iter
 
 def encode_documents(documents: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col and ids (list of token ids) of every row."""
-    path = path or tokenizer_path()
+    path = share_file(documents.sparkSession, path or tokenizer_path())
     kind = documents.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -242,7 +242,7 @@ def encode_documents(documents: DataFrame, path: str | None = None, id_col: str
 
 def count_tokens(documents: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col and n_tokens of every row."""
-    path = path or tokenizer_path()
+    path = share_file(documents.sparkSession, path or tokenizer_path())
     kind = documents.schema[id_col].dataType.simpleString()
 
     def run(batches):

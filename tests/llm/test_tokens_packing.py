@@ -132,6 +132,26 @@ def test_pack_items_groups(spark):
         packing.pack_items(items, [])
 
 
+def test_groups_are_spread_and_fill_is_near_the_bound(spark):
+    rng = random.Random(9)
+    sizes = [min(3000, int(rng.lognormvariate(5, 1))) for _ in range(8000)]
+    items = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n_tokens long")
+    limits = [("small", 512), ("middle", 1024), ("large", 4096)]
+    packed = packing.pack_items(items, limits, group=1000)
+    assert "REPARTITION_BY_NUM" in packed._jdf.queryExecution().executedPlan().toString()
+    spread = packed.select(F.shiftright("container_id", 32).alias("g"), F.spark_partition_id().alias("p")).distinct().collect()
+    assert len({r.p for r in spread}) > 1 and len(spread) == len({r.g for r in spread}) == 8
+    report = {r.plan: r for r in packing.fill_report(packed).collect()}
+    rows = packed.where("plan = 'large'").selectExpr("doc_id", "shiftright(container_id, 32) AS g").distinct().collect()
+    groups = {g: [sizes[r.doc_id] for r in rows if r.g == g] for g in range(8)}
+    assert sorted(n for g in groups.values() for n in g) == sorted(sizes)
+    for name, cap in limits:
+        # Parts of split items fill containers of their own; no packing of a group needs fewer than its tokens' worth.
+        bound = sum(-(-sum(g) // cap) for g in groups.values())
+        assert report[name].n_tokens == sum(sizes) and bound <= report[name].n_containers <= bound * 1.01 + len(groups)
+    assert sum(sizes) <= report["mixed"].capacity_tokens <= 1.01 * sum(sizes) + 8 * 512
+
+
 def test_null_ids_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, "a b"), (None, None), (3, "a b"), (3, "a b")], "doc_id long, text string")
     got = sorted(((r.doc_id or 0), len(r.ids)) for r in tokens.encode_documents(df).collect())
