@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from talespan.backends.chat import RuleBackend
 from talespan.backends.embed import HashingEmbedder, embed
 from talespan.functions import prompts, text as tx, vectors as vec
+from talespan.functions.uris import uri_key
 from talespan.functions.tokens import CharacterCounter, RankCounter, token_count
 from talespan.operators import batching, matching as m, segmentation as seg, segments as sg, thesaurus as th
 from talespan.operators.topdown import match_topdown
@@ -31,12 +32,7 @@ CAPTIONS = """SELECT DISTINCT transcript_id, tape_no, caption_idx, text, start_m
 FROM {captions} WHERE text IS NOT NULL AND start_ms IS NOT NULL AND end_ms IS NOT NULL"""
 BOUNDARIES = "SELECT DISTINCT transcript_id, tape_no, caption_idx FROM {captions} WHERE text LIKE '%?' AND start_ms IS NOT NULL AND end_ms IS NOT NULL"
 SEGMENTS = """SELECT DISTINCT transcript_id, tape_no, segment_idx, start_s AS "start", end_s AS "end", text FROM {segments}
-WHERE seg_type = 'speech' AND text IS NOT NULL"""
-MATCHES = """SELECT DISTINCT x.match_id, x.transcript_id, x.segment_idx, x.match_idx, x.uri, r.name, x.source,
-  CASE WHEN isnan(x.score) THEN NULL ELSE x.score END AS score
-FROM {matches} x JOIN {ref_concepts} r ON x.uri = r.uri"""
-ITEMS = """SELECT transcript_id, segment_idx, name AS concept, CASE WHEN min(match_idx) % 3 = 0 THEN NULL ELSE CAST(0.25 AS DOUBLE) * (min(match_idx) % 4) END AS score
-FROM (""" + MATCHES + """) GROUP BY transcript_id, segment_idx, name HAVING count(*) = 1"""
+WHERE text IS NOT NULL"""
 RAW = """SELECT concept_idx AS k, name, CASE concept_idx % 5
   WHEN 0 THEN concat('```json', chr(10), '[{{"concept":"', name, '","score":0.8}}]', chr(10), '```')
   WHEN 1 THEN concat('```', '[{{"concept":"', name, '","score":"0.6"}}]', '```')
@@ -77,7 +73,28 @@ def duck(sql: str) -> str:
     return sql.format(**{n: n for n in _NAMES})
 
 
-C, B, S, M = duck(CAPTIONS), duck(BOUNDARIES), duck(SEGMENTS), duck(MATCHES)
+# Matches with the uri and name of their reference entry, however the uri is spelled; every match_id is kept.
+_URI_SQL = r"""regexp_replace(regexp_replace(regexp_replace(lower(url_decode(regexp_replace(lower(regexp_replace({0}, '^[\s<]+|[\s>]+$', '', 'g')), '[?#].*$', ''))), '^(https?:)?/*(www\.)?', ''), '/{{2,}}', '/', 'g'), '/+$', '')"""
+C, B, S = duck(CAPTIONS), duck(BOUNDARIES), duck(SEGMENTS)
+M = f"""SELECT DISTINCT x.match_id, x.transcript_id, x.segment_idx, x.match_idx, coalesce(r.uri, x.uri) AS uri, r.name, x.source, CASE WHEN isnan(x.score) THEN NULL ELSE x.score END AS score
+FROM matches x LEFT JOIN (SELECT {_URI_SQL.format('uri')} AS k, min(uri) AS uri, min(name) AS name FROM ref_concepts GROUP BY 1) r ON {_URI_SQL.format('x.uri')} = r.k"""
+ITEMS = f"""SELECT transcript_id, segment_idx, name AS concept, CASE WHEN min(match_idx) % 3 = 0 THEN NULL ELSE CAST(0.25 AS DOUBLE) * (min(match_idx) % 4) END AS score
+FROM ({M}) WHERE name IS NOT NULL GROUP BY transcript_id, segment_idx, name"""
+
+
+def _matches(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of M."""
+    named = table(spark, d, "ref_concepts").groupBy(uri_key(F.col("uri")).alias("k")).agg(F.min("uri").alias("r_uri"), F.min("name").alias("name"))
+    x = table(spark, d, "matches").withColumn("k", uri_key(F.col("uri"))).join(named, "k", "left")
+    return x.select("match_id", *SEG, "match_idx", F.coalesce("r_uri", "uri").alias("uri"), "name", "source", F.when(~F.isnan("score"), F.col("score")).alias("score")).distinct()
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of ITEMS: one answer per segment and name, which may fit several matches."""
+    first = _matches(spark, d).where("name IS NOT NULL").groupBy(*SEG, F.col("name").alias("concept")).agg(F.min("match_idx").alias("i"))
+    return first.select(*SEG, "concept", F.when(F.col("i") % 3 != 0, F.col("i") % 4 * F.lit(0.25)).alias("score"))
+
+
 _STRIP = r"regexp_replace({0}, '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g')"
 _FLAT = _STRIP.format("replace(text, chr(10), ' ')")
 
@@ -126,18 +143,32 @@ def vtt_timestamp(spark, d):
     return cap.withColumn("t", tx.cue_times(line)).select(*TAPE, "caption_idx", F.col("t.start").alias("start_s"), F.col("t.end").alias("end_s"))
 
 
+_CUES = "SELECT DISTINCT transcript_id, tape_no, caption_idx, text, start_ms, end_ms FROM {captions}"
+
+
 def _vtt_files(spark, d):
-    """One WebVTT file per tape, made from the captions table."""
-    cap = both(spark, d, CAPTIONS).where(r"start_ms >= 0 AND end_ms >= 0 AND text RLIKE '(?U)\\S' AND NOT contains(text, '-->')")
-    cue = F.concat(_stamp(F.col("start_ms")), F.lit(" --> "), _stamp(F.col("end_ms")), F.lit("\n"), F.regexp_replace("text", r"(?U)\s+", " "), F.lit("\n\n"))
-    docs = cap.groupBy(*TAPE).agg(F.array_sort(F.collect_list(F.struct("caption_idx", cue.alias("c")))).alias("x"))
+    """One WebVTT file per tape from all captions, as they are: a caption without times is text
+    without a timing line, one without text is a timing line alone; texts stand on one line."""
+    timed = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
+    timing = F.when(timed, F.concat(_stamp(F.col("start_ms")), F.lit(" --> "), _stamp(F.col("end_ms")), F.lit("\n"))).otherwise("")
+    said = F.when(F.col("text").rlike(r"(?U)\S"), F.concat(F.regexp_replace("text", r"(?U)\s+", " "), F.lit("\n"))).otherwise("")
+    docs = both(spark, d, _CUES).groupBy(*TAPE).agg(F.array_sort(F.collect_list(F.struct("caption_idx", F.concat(timing, said, F.lit("\n")).alias("c")))).alias("x"))
     return docs.select(F.concat(F.lit("t"), F.col("transcript_id"), F.lit("_"), F.col("tape_no"), F.lit(".vtt")).alias("file_name"),
                        F.concat(F.lit("WEBVTT\n\n"), F.array_join(F.transform("x", lambda r: r["c"]), "")).alias("value"))
 
 
-@query(rf"""SELECT concat('t', transcript_id, '_', tape_no, '.vtt') AS file_name, CAST(row_number() OVER (PARTITION BY transcript_id, tape_no ORDER BY caption_idx) - 1 AS INTEGER) AS caption_idx,
-{_seconds_sql('start_ms')} AS start_s, {_seconds_sql('end_ms')} AS end_s
-FROM ({C}) WHERE start_ms >= 0 AND end_ms >= 0 AND regexp_matches(text, '[^\s\x{{a0}}]') AND NOT contains(text, '-->')""")
+# The parser as a fold over captions: pending is 't' after a time without text, 'x' after text without a time. A text
+# with an arrow is no timing, so its whole file is an error.
+@query(rf"""WITH RECURSIVE q AS (SELECT *, start_ms IS NOT NULL AND end_ms IS NOT NULL AS t, coalesce(regexp_matches(text, '[^\s\x{{a0}}]'), false) AS x FROM ({duck(_CUES)})),
+o AS (SELECT *, row_number() OVER (PARTITION BY transcript_id, tape_no ORDER BY caption_idx) AS r FROM q
+  WHERE (transcript_id, tape_no) NOT IN (SELECT (transcript_id, tape_no) FROM q WHERE x AND contains(text, '-->'))),
+f AS (SELECT transcript_id, tape_no, 0::BIGINT AS r, '' AS pending, NULL::BIGINT AS s, NULL::BIGINT AS e, false AS out FROM o WHERE r = 1
+  UNION ALL SELECT o.transcript_id, o.tape_no, o.r,
+    CASE WHEN (o.t OR f.pending = 't') AND (o.x OR f.pending = 'x') THEN '' WHEN o.t OR f.pending = 't' THEN 't' WHEN o.x OR f.pending = 'x' THEN 'x' ELSE '' END,
+    CASE WHEN o.t THEN o.start_ms WHEN f.pending = 't' THEN f.s END, CASE WHEN o.t THEN o.end_ms WHEN f.pending = 't' THEN f.e END,
+    (o.t OR f.pending = 't') AND (o.x OR f.pending = 'x') FROM f JOIN o ON o.transcript_id = f.transcript_id AND o.tape_no = f.tape_no AND o.r = f.r + 1)
+SELECT concat('t', transcript_id, '_', tape_no, '.vtt') AS file_name, CAST(row_number() OVER (PARTITION BY transcript_id, tape_no ORDER BY r) - 1 AS INTEGER) AS caption_idx,
+{_seconds_sql('s')} AS start_s, {_seconds_sql('e')} AS end_s FROM f WHERE out""")
 def vtt_parse(spark, d):
     got = vtt.parse_files(_vtt_files(spark, d))
     return got.where("error IS NULL").select("file_name", "caption_idx", F.col("start").alias("start_s"), F.col("end").alias("end_s"))
@@ -167,7 +198,7 @@ def serialize_segments(spark, d):
 
 def _enriched(spark, d):
     segments = both(spark, d, SEGMENTS)
-    matches = both(spark, d, MATCHES).drop("name").withColumn("match_idx", F.col("match_id"))
+    matches = _matches(spark, d).drop("name").withColumn("match_idx", F.col("match_id"))
     names = both(spark, d, "SELECT DISTINCT transcript_id, full_name AS name FROM {speakers} WHERE speaker_no = 2 AND tape_no = 1")
     names = names.groupBy("transcript_id").agg(F.min("name").alias("name"))
     return sink.enrich_rows(segments, matches, table(spark, d, "ref_concepts"), names, ["transcript_id"])
@@ -309,7 +340,7 @@ def segments_from_indices(spark, d):
     return sg.segments_from_indices(both(spark, d, CAPTIONS), _lists(spark, d), TAPE).withColumnsRenamed({"start": "start_s", "end": "end_s"})
 
 
-_COSTED = """SELECT coalesce(source, '-') AS source, doc_id, CAST(floor(coalesce(n_chars, 0) / CAST(4 AS DOUBLE)) AS BIGINT) + 10 AS cost FROM {documents}"""
+_COSTED = """SELECT coalesce(source, '-') AS source, doc_id, CAST(floor(coalesce(length(text), 0) / CAST(4 AS DOUBLE)) AS BIGINT) + 10 AS cost FROM {documents}"""
 
 
 @query(f"""WITH RECURSIVE d AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM ({duck(_COSTED)})),
@@ -447,22 +478,22 @@ def llm_response_join(spark, d):
     return m.answers_to_concepts(items, table(spark, d, "ref_concepts"), ["k"]).select("k", "concept_idx", "score", "source")
 
 
-@query(f"""SELECT m.transcript_id, m.segment_idx, m.match_id, m.source, coalesce(i.score, m.score) AS score FROM ({M}) m JOIN ({duck(ITEMS)}) i
+@query(f"""SELECT m.transcript_id, m.segment_idx, m.match_id, m.source, coalesce(i.score, m.score) AS score FROM ({M}) m JOIN ({ITEMS}) i
 ON m.transcript_id = i.transcript_id AND m.segment_idx = i.segment_idx AND m.name = i.concept""")
 def validate_matches(spark, d):
-    return m.validate_matches(both(spark, d, MATCHES), both(spark, d, ITEMS), SEG).select(*SEG, "match_id", "source", "score")
+    return m.validate_matches(_matches(spark, d), _items(spark, d), SEG).select(*SEG, "match_id", "source", "score")
 
 
 @query(f"""SELECT transcript_id, segment_idx, CAST(row_number() OVER (PARTITION BY transcript_id, segment_idx ORDER BY CASE WHEN source LIKE 'Top-down%' THEN 0 ELSE 1 END, match_id) - 1 AS INTEGER) AS match_idx,
 uri, source, score FROM ({M}) WHERE source IS NOT NULL""")
 def combine_matches(spark, d):
-    rows = both(spark, d, MATCHES).withColumn("match_idx", F.col("match_id")).where("source IS NOT NULL")
+    rows = _matches(spark, d).withColumn("match_idx", F.col("match_id")).where("source IS NOT NULL")
     return m.combine_matches([rows.where("source LIKE 'Top-down%'"), rows.where("source NOT LIKE 'Top-down%'")], SEG)
 
 
 @query(f"""SELECT transcript_id, segment_idx, uri, match_id FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id, segment_idx, uri ORDER BY match_idx, match_id) AS r FROM ({M})) WHERE r = 1""")
 def dedup_matches(spark, d):
-    return m.dedup_matches(both(spark, d, MATCHES), SEG, ["match_idx", "match_id"]).select(*SEG, "uri", "match_id")
+    return m.dedup_matches(_matches(spark, d), SEG, ["match_idx", "match_id"]).select(*SEG, "uri", "match_id")
 
 
 @query(f"SELECT transcript_id, tape_no, speaker_no, CASE WHEN (transcript_id + speaker_no) % 4 < 3 THEN full_name END AS name FROM ({duck(NAME_RAW)})")
@@ -511,7 +542,7 @@ def _tree(spark, d):
 def match_validation(spark, d):
     """Matches that the backend keeps, asked once per segment with all its candidates."""
     segments = both(spark, d, SEGMENTS)
-    candidates = both(spark, d, MATCHES).withColumn("match_idx", F.col("match_id")).drop("match_id")
+    candidates = _matches(spark, d).withColumn("match_idx", F.col("match_id")).drop("match_id")
     return pipeline.validated(segments, candidates, table(spark, d, "ref_concepts"), BACKEND, SEG).select(*SEG, "match_idx", "uri", "source", "score")
 
 
