@@ -41,10 +41,9 @@ _STATE = "id int, root int, depth int, path array<int>, total bigint, cycle int,
 def concept_edges(concepts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes: id; edges: p, c) of concept rows with concept_idx, uri and narrower."""
     rows = concepts.where("concept_idx IS NOT NULL").select(F.col("concept_idx").cast("int").alias("id"), uri_key(F.col("uri")).alias("key"), "narrower")
-    nodes = rows.groupBy("id").agg(F.min("key").alias("key"))
     links = rows.select("id", F.explode("narrower").alias("n")).select(F.col("id").alias("p"), uri_key(F.col("n")).alias("key")).where("key IS NOT NULL")
-    named = nodes.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("c"))
-    return nodes.select("id"), links.join(named, "key").select("p", "c").distinct()
+    named = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("c"))
+    return rows.select("id").distinct(), links.join(named, "key").select("p", "c").distinct()
 
 
 # --- the core and small remainders, in one task -------------------------------------------
