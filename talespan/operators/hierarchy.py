@@ -353,14 +353,15 @@ def contract(nodes: DataFrame, edges: DataFrame, local_edges: int, paths: bool):
 
 def _reverse(records: DataFrame, splices: int, state: DataFrame, paths: bool) -> DataFrame:
     """States of the nodes that one round removed, from those of their neighbours."""
-    of_p = state.select(F.col("id").alias("p"), "root", "depth", *(["path"] if paths else []), F.col("cycle").alias("p_cycle"), F.col("scc").alias("p_scc"))
+    hashed = (lambda df: df) if paths else (lambda df: df.hint("shuffle_hash"))  # states are narrow without paths
+    of_p = hashed(state.select(F.col("id").alias("p"), "root", "depth", *(["path"] if paths else []), F.col("cycle").alias("p_cycle"), F.col("scc").alias("p_scc")))
     known = F.col("depth") >= 0
     place = ["root", F.when(known, F.col("depth") + F.col("w")).otherwise(-1).alias("depth")]
     if paths:
         place.append(F.when(known, F.concat("path", "hidden", F.array("v"))).otherwise(F.array().cast("array<int>")).alias("path"))
     out = records.where(F.col("kind") == _RAKE).join(of_p, "p").select(F.col("v").alias("id"), *place, F.col("raked").alias("total"), F.lit(0).alias("cycle"), F.col("v").alias("scc"))
     if splices:
-        of_c = state.select(F.col("id").alias("c"), F.col("total").alias("c_total"), F.col("cycle").alias("c_cycle"), F.col("scc").alias("c_scc"))
+        of_c = hashed(state.select(F.col("id").alias("c"), F.col("total").alias("c_total"), F.col("cycle").alias("c_cycle"), F.col("scc").alias("c_scc")))
         x = records.where(F.col("kind") == _SPLICE).join(of_p, "p").join(of_c, "c")
         on_cycle = (F.col("p_scc") == F.col("c_scc")) & (F.col("p_cycle") == 1)
         out = out.unionByName(x.select(
