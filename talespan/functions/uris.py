@@ -9,7 +9,7 @@ _PATH = r"(?U)^[\s<\"']*(?:[a-z][a-z0-9+.\-]*:(?!\d))?/*(?:www\.)?([^?#\s<>\"']*
 
 
 # A uri that is in normal form but for its scheme; most are, and need one look only.
-_NORMAL = r"^https?://(?!www\.)[a-z0-9.\-]++(?:/[a-z0-9._~\-]++)++$"
+_NORMAL = r"^https?://(?!www\.)[a-z0-9.\-]++(?:/[a-z0-9._~\-]++)++\z"
 
 
 def uri_form(uri: Column) -> Column:

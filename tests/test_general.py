@@ -134,7 +134,7 @@ def test_uri_key(spark):
     keys = {r[0] for r in spark.createDataFrame([(s,) for s in same], "u string").select(uri_key(F.col("u"))).collect()}
     assert keys == {"t.example/th/k/1"}
     # The short way gives what the long way gives for the same uri in another spelling.
-    plain = ["https://t.example/a-b/c_d/1.2~x", "http://t.example", "https://t.example/a//b", "https://www.t.example/a", "https://t.example/a/", "https://t.example/a:80", "https://t.example/a b", "https://t.example/a/é"]
+    plain = ["https://t.example/a-b/c_d/1.2~x", "http://t.example", "https://t.example/a//b", "https://www.t.example/a", "https://t.example/a/", "https://t.example/a:80", "https://t.example/a b", "https://t.example/a/é", "https://t.example/a/1\n", "https://t.example/a/1\r\n"]
     for p in plain:
         one, two = (r[0] for r in spark.createDataFrame([(p,), (f" <{p}> ",)], "u string").select(uri_key(F.col("u"))).collect())
         assert one == two
