@@ -223,6 +223,63 @@ def test_topdown_walks_until_no_concept_is_left(spark, monkeypatch):
     assert Level.left == 0
 
 
+class Picky:
+    """Names of most labels, by prompt: no JSON at first, scores left out or no numbers, names repeated."""
+
+    def __init__(self):
+        self.asked = set()
+
+    def complete(self, prompt, system=""):
+        import json
+        import zlib
+
+        labels, _, text = prompt.partition("CONCEPTS\n")[2].partition("\nPART\n")
+        if len(prompt) % 3 == 0 and prompt not in self.asked:
+            self.asked.add(prompt)
+            return "sorry"
+        out = []
+        for n in [x.removeprefix("- ").split(" – ")[0] for x in labels.split("\n")]:
+            h = zlib.crc32((n.strip() + text[:2]).encode())
+            out += [n] if h % 5 == 0 else [{"concept": n, "score": None if h % 3 == 0 else h % 100 / 100}] * (h % 5 > 1) + ([{"concept": n, "score": float("nan")}] if h % 11 == 0 else [])
+        return json.dumps(out) if len(prompt) % 7 else "broken"
+
+
+def test_topdown_walk_by_segment_equals_the_walk_by_level(spark, monkeypatch):
+    """Names in several batches, names that repeat or are null, uris that repeat or are null, circles."""
+    monkeypatch.setattr(topdown, "MOST_MATCHES", 3)
+    rows = [(i, f"u{i % 70}" if i % 31 else None, None if i % 23 == 0 else f" Naam{i % 17}\u00a0" if i % 4 == 0 else f"Naam{i % 17}", "d" * (i % 9), [f"u{(i * 7 + j) % 90}" for j in range(i % 4)] + [None], i % 3 == 0) for i in range(80)]
+    con = spark.createDataFrame(rows, "concept_idx int, uri string, name string, description string, narrower array<string>, top boolean")
+    s = spark.createDataFrame([(i, "x" * (i % 4), f"{i} " + "lang " * (i * 7 % 60)) for i in range(40)] + [(99, "", None)], "s int, k string, text string")
+    args = (s, con.where("NOT top OR concept_idx % 2 = 0"), con.where("top"), Picky(), ["s", "k"], CharacterCounter(), 160)
+    got, want = (sorted((r.s, r.k, r.match_idx, r.uri, r.source, repr(r.score)) for r in f(*args).collect()) for f in (match_topdown, topdown.match_by_level))
+    assert got == want and len(got) > 100 and len({r[5] for r in got}) > 5 and "None" in {r[5] for r in got}
+    monkeypatch.setattr(topdown, "MOST_HELD", 10)
+    assert sorted((r.s, r.k, r.match_idx, r.uri, r.source, repr(r.score)) for r in match_topdown(*args).collect()) == want
+
+
+def test_topdown_walk_has_no_shuffle_but_of_segments(spark, monkeypatch):
+    """The number of stage tables and of prompts' rows does not follow levels or batches."""
+    made = []
+    keep = topdown.materialize
+    monkeypatch.setattr(topdown, "materialize", lambda df, name: made.append(name) or keep(df, name))
+    con, s = _chain(spark, 12)
+    assert match_topdown(s, con, con.where("top"), RuleBackend(keep=0), ["s"], CharacterCounter(), 30).count() == 12
+    assert len(made) == 3
+
+
+def test_prompts_that_begin_alike_get_the_same_answers():
+    from talespan.functions import prompts
+
+    rule, labels = RuleBackend(), [f"wereldoorlog{i} kamp – d" if i % 3 else "Verzetsstrijdersbijeenkomstencommissieleden" for i in range(60)] + ["een\nPART\nonderbreking", ""]
+    for n in (60, 62):
+        head = prompts.topdown_head([f"- {x}" for x in labels[:n]])
+        for text in ["", "Over wereldoorlog5 en xwereldoorlog17x", "de verzetsstrijdersbijeenkomstencommissieleden", "niets\nPART\nWERELDOORLOG1"]:
+            low = (head.partition("\nPART\n")[2] + text).lower()
+            kept = [x.split(" – ")[0] for x in labels[:61] if any(w in low for w in __import__("re").findall(r"\w{7,}", x.split(" – ")[0].lower().split("\n")[0]))]
+            said = rule.complete_from(head, text)
+            assert said == rule.complete(head + text) and all(f'"{x}"' in said for x in kept if "\n" not in x)
+
+
 class Labels:
     """Notes every prompt's labels; names all concepts."""
 
