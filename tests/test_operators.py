@@ -413,3 +413,22 @@ def test_ask_again_and_nulls(spark):
     rows = spark.createDataFrame([(1, "a"), (2, None)], "k int, p string")
     assert sorted((r.k, r.raw) for r in seg.ask(rows, FailsOnce(), "p").collect()) == [(1, "oops"), (2, None)]
     assert sorted((r.k, r.raw) for r in seg.ask(rows, FailsOnce(), "p", retries=1, parallel=2).collect()) == [(1, "```[1]```"), (2, None)]
+
+
+def test_enriched_segments_carry_their_matches_through_the_walk(spark, monkeypatch):
+    """No match becomes a row; the rows are those of matches joined to their names."""
+    from talespan.backends.embed import HashingEmbedder, embed
+    from talespan.plans import pipeline
+
+    made, keep = [], pipeline.materialize
+    monkeypatch.setattr(pipeline, "materialize", lambda df, name: made.append(name) or keep(df, name))
+    rows = [(i, f"u{i}", f"Naam{i % 9} wereldoorlog", "camp" if i % 5 == 4 else "other", "d" if i % 3 else None, [f"u{i + 1}", f"u{i + 7}"], ["s"] if i % 6 == 0 else []) for i in range(40)]
+    con = spark.createDataFrame(rows, "concept_idx int, uri string, name string, category string, description string, narrower array<string>, top_concept array<string>")
+    s = spark.createDataFrame([("a", 0, 0.0, 1.0, "over de wereldoorlog"), ("a", 1, 1.0, 2.0, "niets"), ("b", 0, 0.0, 1.0, "Naam4 wereldoorlog")], "f string, segment_idx int, start double, end double, text string")
+    args = (s, spark.createDataFrame([("a", "Jan")], "f string, name string"), con, con.where("category = 'other' AND description IS NOT NULL").select("concept_idx", embed(F.col("name"), HashingEmbedder()).alias("embedding")),
+            RuleBackend(), HashingEmbedder(), CharacterCounter(), ["f", "segment_idx"], 400, 3)
+    got = sorted(pipeline.enrich(*args).collect())
+    assert "matches" not in made and len(got) == 3 and {"Top-down matching"} < {x.source for r in got for x in r.matched_concepts}
+    monkeypatch.setattr(topdown, "MOST_HELD", 0)
+    want = pipeline.enrich(*args)
+    assert "matches" in made and want.columns == ["f", "segment_idx", "interviewee_name", "start", "end", "text", "matched_concepts"] and sorted(want.collect()) == got
