@@ -50,3 +50,20 @@ def test_env_and_elapsed(tmp_path, monkeypatch):
     env = read_env(str(tmp_path / ".env"))
     assert env["MODEL"] == "rules" and env["DATA_FOLDER"] == "other"
     assert elapsed_text(3.14159) == "3.14 seconds" and elapsed_text(125) == "2 min 5 sec"
+
+
+def test_no_shuffle_of_all_grams(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from talespan.operators import matching as m
+
+    s = spark.createDataFrame([(1, "Kamp Vught en Westerbork"), (2, "niets")], "s int, text string")
+    places = spark.createDataFrame([(0, "kamp vught"), (1, "westerbork"), (2, "kamp")], "concept_idx int, name string").repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = m.exact_occurrence(s, places, ["s"])
+        assert "BroadcastHashJoin" in plan(got)
+        monkeypatch.setattr(m, "SENT_NAMES", 2)
+        want = m.exact_occurrence(s, places, ["s"])
+        assert "BroadcastHashJoin" not in plan(want) and sorted(got.collect()) == sorted(want.collect()) and want.agg(F.count("*")).first()[0] == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
