@@ -267,6 +267,36 @@ def test_topdown_walk_has_no_shuffle_but_of_segments(spark, monkeypatch):
     assert len(made) == 3
 
 
+class Unasked(RuleBackend):
+    """Judges, but answers no prompt."""
+
+    def complete(self, prompt, system=""):
+        raise AssertionError("asked")
+
+    complete_from = complete
+
+
+def _odd_concepts(spark):
+    """Names that repeat, are null, hold a dash or a line break, are empty; descriptions that go on; uris that repeat."""
+    names = ["Wereldoorlog {0}", "kampbewaking – {0}", None, "", "Wereldoorlog", "lijn {0}\nbewakingsdienst", "Verzetsstrijdersbijeenkomstencommissieleden", "Ærøskøbingen", "kampbewaking"]
+    rows = [(i, f"u{i % 110}", n and n.format(i % 13), ("twee\nregels", "kort", None)[i % 3], [f"u{(i * 7 + j) % 120}" for j in range(i % 5)] + [None], i % 4 == 0) for i in range(120) for n in [names[i % 9]]]
+    return spark.createDataFrame(rows, "concept_idx int, uri string, name string, description string, narrower array<string>, top boolean")
+
+
+def test_topdown_walk_by_a_judge_makes_no_prompts(spark):
+    """Same rows as the walk by level, which asks; without a prompt where labels are judged each for itself."""
+    con = _odd_concepts(spark)
+    texts = [None, "", "niets", "WERELDOORLOGEN en kampbewaking", "wereldoorlog, de verzetsstrijdersbijeenkomstencommissieledenlijst", "wereldoorlog ærøskøbingen of bewakingsdienst " + "lang " * 40]
+    s = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "s int, text string")
+    rows = lambda f, backend, con=con: sorted((r.s, r.match_idx, r.uri, r.source, repr(r.score)) for r in f(s, con.where("NOT top"), con.where("top"), backend, ["s"], CharacterCounter(), 170).collect())
+    want = rows(topdown.match_by_level, RuleBackend())
+    assert rows(match_topdown, Unasked()) == want and len({tuple(r[2] for r in want if r[0] == i) for i in range(6)}) > 3
+    several = con.withColumn("description", F.when(F.col("concept_idx") == 7, "x\n- Wereldoorlog").otherwise(F.col("description")))
+    blanks = con.withColumn("name", F.when(F.col("concept_idx") == 12, " Wereldoorlog ").otherwise(F.col("name")))
+    for odd in (several, blanks):  # these have to be asked
+        assert rows(match_topdown, RuleBackend(), odd) == rows(topdown.match_by_level, RuleBackend(), odd)
+
+
 def test_prompts_that_begin_alike_get_the_same_answers():
     from talespan.functions import prompts
 
