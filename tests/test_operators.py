@@ -462,3 +462,38 @@ def test_enriched_segments_carry_their_matches_through_the_walk(spark, monkeypat
     monkeypatch.setattr(topdown, "MOST_HELD", 0)
     want = pipeline.enrich(*args)
     assert "matches" in made and want.columns == ["f", "segment_idx", "interviewee_name", "start", "end", "text", "matched_concepts"] and sorted(want.collect()) == got
+
+
+def test_titles_are_asked_for_in_the_pass_of_the_walk(spark, monkeypatch):
+    """No stage table of the walk and no second pass; the rows are those of titles asked for afterwards."""
+    from talespan.backends.embed import HashingEmbedder, embed
+    from talespan.plans import pipeline
+
+    made, keep = [], topdown.materialize
+    monkeypatch.setattr(topdown, "materialize", lambda df, name: made.append(name) or keep(df, name))
+    rows = [(i, f"u{i}", f"Naam{i % 9} wereldoorlog", "camp" if i % 5 == 4 else "other", "d" if i % 3 else None, [f"u{i + 1}", f"u{i + 7}"], ["s"] if i % 6 == 0 else []) for i in range(40)]
+    con = spark.createDataFrame(rows, "concept_idx int, uri string, name string, category string, description string, narrower array<string>, top_concept array<string>")
+    s = spark.createDataFrame([("a", 0, 0.0, 1.0, "over de wereldoorlog"), ("a", 1, 1.0, 2.0, "niets"), ("a", 2, 1.0, 2.0, ""), ("b", 0, 0.0, 1.0, "Naam4 wereldoorlog")], "f string, segment_idx int, start double, end double, text string")
+    args = (s, spark.createDataFrame([("a", "Jan")], "f string, name string"), con, con.where("category = 'other' AND description IS NOT NULL").select("concept_idx", embed(F.col("name"), HashingEmbedder()).alias("embedding")),
+            RuleBackend(), HashingEmbedder(), CharacterCounter(), ["f", "segment_idx"], 400, 3)
+    got = pipeline.enrich(*args, titles=True)
+    assert sorted(made) == ["topdown-concepts", "topdown-numbers"]
+    columns, got = got.columns, sorted(got.collect())
+    monkeypatch.setattr(topdown, "MOST_HELD", 0)
+    want = pipeline.enrich(*args, titles=True)
+    assert "topdown-0" in made and columns == want.columns
+    assert got == sorted(want.collect()) and len({x.source for r in got for x in r.matched_concepts}) == 3 and len({r.segment_title for r in got}) == 4
+
+
+def test_nearest_vectors_are_those_of_all_exact_scores():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    unit = m._unit(np.concatenate([rng.integers(-2, 3, (700, 6)), np.zeros((3, 6)), rng.standard_normal((30, 6)) * 1e-7 + 1]).astype(float))
+    q = m._unit(np.concatenate([unit[:150:3], np.zeros((1, 6)), np.ones((90, 6))]))
+    for take in (1, 5, 11, 12, len(unit)):
+        top, scores = (np.concatenate(x) for x in zip(*m._nearest(q, unit, take)))
+        exact = np.array([(unit * row).sum(1) for row in q])
+        if take <= 11:  # by the bound
+            assert np.array_equal(top, [m._top(x, take) for x in exact])
+        assert top.shape == (141, take) and np.allclose(scores, np.take_along_axis(exact, np.array([m._top(x, take) for x in exact]), 1), 0, 1e-14)
